@@ -91,6 +91,12 @@ def supplier_performance(t: Tables, as_of: date | None = None) -> DataFrame:
     return ranked.drop("_share")
 
 
+def category_ranks(t: Tables, as_of: date | None = None) -> DataFrame:
+    return supplier_performance(t).select(
+        "supplier_id", "supplier_category", "otd_percentage", "overall_defect_ppm", "category_rank"
+    )
+
+
 def movement_totals(t: Tables, as_of: date, days: int) -> DataFrame:
     """Stock and recent consumption per material and warehouse, in one pass over the ledger."""
     quantity = F.col("quantity")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantline.plans import marts
+from plantline.plans import analytics, comparisons, marts, trends
 from plantline.sources.star import AS_OF, StarSchema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +43,24 @@ def register(key: str, plan: Callable[..., DataFrame], **params) -> None:
 register("mart_supplier_performance", marts.supplier_performance)
 register("mart_inventory_health", marts.inventory_health)
 register("mart_production_at_risk", marts.production_at_risk)
+
+register("window_lag_otd", trends.lag_otd)
+register("window_lead_variance", trends.lead_variance)
+register("window_rolling_3m", trends.rolling_3m)
+register("window_rank_monthly", trends.rank_monthly)
+register("window_rank_category", marts.category_ranks)
+register("window_running_balance", comparisons.all_running_balances)
+register("window_rolling_burn", comparisons.all_burn_rates)
+register("q1_supplier_trajectory", trends.supplier_trajectory)
+register("q2_inventory_turnover", analytics.inventory_turnover)
+register("q3_delayed_po_impact", analytics.delayed_po_impact)
+register("q4_bom_production_risk", analytics.bom_production_risk)
+
+BALANCE = {"material_id": 42, "since": date(2000, 10, 1)}
+SCORECARD = {"since": date(1999, 1, 1)}
+register("b1_running_balance_formatted", comparisons.material_balance_formatted, **BALANCE)
+register("b1_running_balance", comparisons.material_balance, **BALANCE)
+register("b2_scorecard_correlated", comparisons.scorecard_correlated, **SCORECARD)
+register("b2_scorecard", comparisons.scorecard, **SCORECARD)
+register("b3_bom_shortage_correlated", comparisons.bom_shortage_correlated)
+register("b3_bom_shortage_mart", comparisons.bom_shortage_mart)
