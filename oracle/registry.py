@@ -1,9 +1,9 @@
 """All DuckDB texts, each prefixed with the common table expressions it uses."""
 
-from oracle import analytics, marts
+from oracle import analytics, loading, marts
 from oracle.star import STAR, compose
 
-_GROUPS = (marts, analytics)
+_GROUPS = (marts, analytics, loading)
 
 _PARTS: dict[str, str] = dict(STAR)
 for _group in _GROUPS:

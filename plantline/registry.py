@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantline.plans import analytics, comparisons, marts, trends
+from plantline import cases
+from plantline.plans import analytics, comparisons, marts, quality, trends
 from plantline.sources.star import AS_OF, StarSchema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +65,40 @@ register("b2_scorecard_correlated", comparisons.scorecard_correlated, **SCORECAR
 register("b2_scorecard", comparisons.scorecard, **SCORECARD)
 register("b3_bom_shortage_correlated", comparisons.bom_shortage_correlated)
 register("b3_bom_shortage_mart", comparisons.bom_shortage_mart)
+
+register("source_csv_roundtrip", cases.csv_roundtrip)
+register("ledger_quarter_partitions", cases.ledger_partitions)
+register("ledger_range_stored", cases.ledger_stored, low=date(1999, 12, 15), high=date(2000, 8, 10))
+register("dim_date_calendar", cases.order_calendar)
+register("refresh_marts", cases.refreshed_marts)
+
+for _entity, _key in (
+    ("suppliers", "validate_suppliers"),
+    ("materials", "validate_materials"),
+    ("purchase_orders", "validate_purchase_orders"),
+    ("inventory_movements", "validate_movements"),
+):
+    register(_key, cases.validate, entity=_entity)
+register("validate_duplicates", cases.duplicates)
+register("rejected_records", cases.dead_letters)
+register("rejected_records_stored", cases.dead_letters_stored)
+register("ingest_summary", cases.ingest_summary)
+register("load_audit", cases.load_audit)
+register("upsert_suppliers", cases.upsert_suppliers)
+register("upsert_materials", cases.upsert_materials)
+register("upsert_purchase_orders", cases.upsert_purchase_orders)
+register("append_movements", cases.append_movements)
+register("append_movement_counts", cases.append_counts)
+
+register("dq_negative_balance", quality.negative_balance)
+register("dq_orphan_receipts", cases.orphan_receipts)
+register("dq_receipt_chronology", quality.receipt_chronology)
+register("dq_ppm_bounds", quality.ppm_bounds)
+register("dq_reorder_point", quality.reorder_point)
+register("dq_shortage_rate", quality.shortage_rate)
+register("dq_future_receipts", quality.future_receipts)
+register("dq_suite", cases.dq_suite)
+register("dq_suite_stored", cases.dq_suite_stored)
+register("dq_alerts", cases.dq_alerts)
+register("dq_dataset_contracts", cases.dq_contracts)
+register("dq_constraints", cases.dq_constraints)
