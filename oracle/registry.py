@@ -1,9 +1,9 @@
 """All DuckDB texts, each prefixed with the common table expressions it uses."""
 
-from oracle import analytics, loading, marts
+from oracle import analytics, charts, loading, marts, risk
 from oracle.star import STAR, compose
 
-_GROUPS = (marts, analytics, loading)
+_GROUPS = (marts, analytics, loading, risk, charts)
 
 _PARTS: dict[str, str] = dict(STAR)
 for _group in _GROUPS:

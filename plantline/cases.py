@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from plantline.operators import validation
 from plantline.operators.calendar import calendar_of
 from plantline.operators.merge import insert_absent, new_movements
-from plantline.plans import loading, quality
+from plantline.plans import incidents, loading, quality, serving
+from plantline.risk import evaluation, features
 from plantline.session import scratch_path
 from plantline.sources import csv_files
 from plantline.sources.raw_batches import BATCHES, SEQ
@@ -237,3 +238,254 @@ MINIMUM_ROWS = {
 
 def dq_contracts(star: StarSchema, as_of: date) -> DataFrame:
     return quality.dataset_contracts(star, as_of, MINIMUM_ROWS, (2000, 2001, 2002))
+
+
+# -- scores, lists and incidents; the rule score stands in for a model score ---------------------------
+
+NOW = datetime(2001, 5, 15)
+LATER_THAT_DAY = datetime(2001, 5, 15, 12, 0)
+
+
+def suppliers(star: StarSchema) -> DataFrame:
+    return serving.rule_scored_suppliers(star)
+
+
+def materials(star: StarSchema) -> DataFrame:
+    return serving.rule_scored_materials(star)
+
+
+def material_feature_rows(star: StarSchema, as_of: date) -> DataFrame:
+    """Nullable whole numbers are shown as text or double."""
+    return features.material_features(star).withColumns({
+        "secondary_supplier_id": F.col("secondary_supplier_id").cast("string"),
+        "total_required_units": F.col("total_required_units").cast("double"),
+    })
+
+
+def supplier_rule_scores(star: StarSchema, as_of: date) -> DataFrame:
+    return suppliers(star).select("supplier_id", F.round("score", 9).alias("score"))
+
+
+def stockout_rule_scores(star: StarSchema, as_of: date) -> DataFrame:
+    return materials(star).select("material_id", F.round("score", 9).alias("score"))
+
+
+def supplier_factor_rows(star: StarSchema, as_of: date) -> DataFrame:
+    predicted = serving.supplier_predictions(suppliers(star))
+    rows = predicted.select("supplier_id", F.posexplode("top_contributing_factors").alias("_at", "_f"))
+    return rows.select("supplier_id", (F.col("_at") + 1).alias("factor_rank"), "_f.*")
+
+
+def stockout_factor_rows(star: StarSchema, as_of: date) -> DataFrame:
+    predicted = serving.stockout_predictions(materials(star))
+    return predicted.select("material_id", F.explode("top_contributing_factors").alias("_f")).select(
+        "material_id", "_f.*"
+    )
+
+
+def tier_counts(star: StarSchema, as_of: date) -> DataFrame:
+    tiers = [
+        serving.supplier_predictions(suppliers(star)).select(F.lit("supplier").alias("entity"), "risk_tier"),
+        serving.stockout_predictions(materials(star)).select(F.lit("material").alias("entity"), "risk_tier"),
+    ]
+    return tiers[0].unionByName(tiers[1]).groupBy("entity", "risk_tier").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _counted_factors(predicted: DataFrame) -> DataFrame:
+    return predicted.withColumn("factors", F.size("top_contributing_factors")).drop("top_contributing_factors")
+
+
+def supplier_prediction_rows(star: StarSchema, as_of: date) -> DataFrame:
+    return _counted_factors(serving.supplier_predictions(suppliers(star)))
+
+
+def stockout_prediction_rows(star: StarSchema, as_of: date) -> DataFrame:
+    return _counted_factors(serving.stockout_predictions(materials(star)))
+
+
+def supplier_narratives(star: StarSchema, as_of: date) -> DataFrame:
+    return serving.supplier_predictions(suppliers(star)).select(
+        "supplier_id", serving.supplier_text().alias("explanation_text")
+    )
+
+
+def stockout_narratives(star: StarSchema, as_of: date) -> DataFrame:
+    return serving.stockout_predictions(materials(star)).select(
+        "material_id", serving.stockout_text().alias("explanation_text")
+    )
+
+
+def judged(star: StarSchema) -> DataFrame:
+    """Rule score as label, a shifted copy as prediction."""
+    return suppliers(star).select(
+        F.col("score").alias("label"), (F.col("score") + ((F.col("supplier_id") * 7) % 11 - 5)).alias("prediction")
+    )
+
+
+def eval_regression(star: StarSchema, as_of: date) -> DataFrame:
+    return evaluation.regression(judged(star), "label", "prediction")
+
+
+def eval_classification(star: StarSchema, as_of: date) -> DataFrame:
+    return evaluation.classification(judged(star), "label", "prediction")
+
+
+def eval_roc_auc(star: StarSchema, as_of: date) -> DataFrame:
+    return evaluation.roc_auc(judged(star), "label", "prediction")
+
+
+def alerts(star: StarSchema) -> DataFrame:
+    return incidents.seed_alerts(suppliers(star), materials(star), NOW)
+
+
+def actions(star: StarSchema) -> DataFrame:
+    return incidents.seed_actions(alerts(star), NOW)
+
+
+def seeded_alerts(star: StarSchema, as_of: date) -> DataFrame:
+    return alerts(star)
+
+
+def seeded_actions(star: StarSchema, as_of: date) -> DataFrame:
+    return actions(star)
+
+
+def kpis(star: StarSchema, as_of: date) -> DataFrame:
+    return serving.executive_kpis(star, suppliers(star), materials(star), alerts(star), actions(star))
+
+
+def list_suppliers(star: StarSchema, as_of: date, **filters) -> DataFrame:
+    return serving.list_suppliers(star, suppliers(star), **filters).drop("top_contributing_factors")
+
+
+def supplier_detail(star: StarSchema, as_of: date, supplier_id: int) -> DataFrame:
+    return serving.supplier_detail(star, suppliers(star), supplier_id).drop("top_contributing_factors")
+
+
+def list_materials(star: StarSchema, as_of: date, **filters) -> DataFrame:
+    return serving.list_materials(star, materials(star), **filters)
+
+
+def list_alerts(star: StarSchema, as_of: date, **filters) -> DataFrame:
+    return serving.list_alerts(alerts(star), **filters)
+
+
+def list_actions(star: StarSchema, as_of: date, **filters) -> DataFrame:
+    return serving.list_actions(actions(star), **filters)
+
+
+def list_governance(star: StarSchema, as_of: date) -> DataFrame:
+    """The three governance lists, each newest first, shown as one."""
+    audit = serving.list_runs(load_audit(star, as_of)).select(
+        F.lit("audit").alias("list"), F.col("run_id").alias("entry"), "status"
+    )
+    results = serving.list_quality_results(quality.suite(star, as_of, "run-1", ENDED)).select(
+        F.lit("quality").alias("list"), F.col("test_name").alias("entry"), "status"
+    )
+    raw = BATCHES["suppliers"](star)
+    rejects = validation.rejected(
+        "suppliers", validation.classify("suppliers", raw, SEQ), SEQ, raw.columns, RUN, BATCH
+    ).withColumn("rejected_at", F.lit(ENDED))
+    shown = serving.list_rejects(rejects).select(
+        F.lit("reject").alias("list"),
+        F.concat("source_table", F.lit(":"), F.get_json_object("payload", "$.supplier_id")).alias("entry"),
+        F.col("error_code").alias("status"),
+    )
+    return audit.unionByName(results).unionByName(shown)
+
+
+def day_alerts(star: StarSchema, as_of: date) -> DataFrame:
+    return incidents.scoring_alerts(suppliers(star), materials(star), as_of)
+
+
+def alerts_inserted(star: StarSchema, as_of: date) -> DataFrame:
+    """Supplier alerts are known already, resolved and retitled; only the material alerts are new."""
+    offered = day_alerts(star, as_of)
+    known = offered.where(F.col("alert_type") == "HIGH_RISK_SUPPLIER").withColumns(
+        {"title": F.lit("kept"), "status": F.lit("RESOLVED")}
+    )
+    return loading.insert_alerts(known, offered)
+
+
+def supplier_scores_upserted(star: StarSchema, as_of: date) -> DataFrame:
+    rows = incidents.supplier_score_rows(suppliers(star), as_of)
+    stale = rows.where("supplier_id % 3 <> 0").withColumns({
+        "risk_score": F.lit(50.0), "risk_tier": F.lit("MEDIUM"), "otd_rate_90d": F.lit(0.0),
+        "explanation_text": F.lit("stale"),
+    })
+    return loading.upsert_supplier_scores(stale, rows).drop("top_contributing_factors")
+
+
+def stockout_scores_upserted(star: StarSchema, as_of: date) -> DataFrame:
+    rows = incidents.stockout_score_rows(materials(star), as_of)
+    stale = rows.where("material_id % 3 <> 0").withColumns({
+        "stockout_risk_score": F.lit(50.0), "risk_tier": F.lit("MEDIUM"), "current_stock": F.lit(-1).cast("bigint"),
+        "explanation_text": F.lit("stale"),
+    })
+    return loading.upsert_stockout_scores(stale, rows).drop("top_contributing_factors")
+
+
+def _number(column: str):
+    return F.split_part(F.col(column), F.lit("-"), F.lit(-1)).cast("int")
+
+
+def alerts_updated(star: StarSchema, as_of: date) -> DataFrame:
+    known = alerts(star)
+    n = _number("alert_id")
+    updates = known.where((n % 2 == 0) | (n % 3 == 0)).select(
+        "alert_id", F.when(n % 3 == 0, "RESOLVED").otherwise("ACKNOWLEDGED").alias("status")
+    )
+    unknown = updates.limit(1).withColumn("alert_id", F.lit("ALT-NONE"))
+    return incidents.apply_alert_updates(known, updates.unionByName(unknown), LATER_THAT_DAY).select(
+        "alert_id", "status", "resolved_at"
+    )
+
+
+def actions_created(star: StarSchema, as_of: date) -> DataFrame:
+    """One action for every alert beyond the first six; priority given only where it is HIGH."""
+    requests = alerts(star).where(_number("alert_id") > incidents.FIRST_ACTIONS).select(
+        _number("alert_id").alias("request_id"),
+        "alert_id",
+        F.concat(F.lit("Mitigate: "), "title").alias("title"),
+        F.col("message").alias("description"),
+        F.lit(incidents.LEAD).alias("assigned_to"),
+        F.when(F.col("severity") == "HIGH", F.col("severity")).alias("priority"),
+    )
+    return incidents.create_actions(actions(star), requests, LATER_THAT_DAY).select(
+        "action_id", "alert_id", "title", "description", "assigned_to", "priority", "status", "created_at",
+        "resolved_at",
+    )
+
+
+def actions_updated(star: StarSchema, as_of: date) -> DataFrame:
+    known = actions(star)
+    n = _number("action_id")
+    updates = known.where((n % 2 == 0) | (n % 3 == 0)).select(
+        "action_id", F.when(n % 2 == 0, "RESOLVED").alias("status"),
+        F.when(n % 2 == 0, "closed").alias("resolution_notes"),
+    )
+    return incidents.apply_action_updates(known, updates, LATER_THAT_DAY).select(
+        "action_id", "status", "assigned_to", "resolution_notes", "updated_at", "resolved_at"
+    )
+
+
+def snapshot(star: StarSchema, as_of: date) -> DataFrame:
+    """Export all lists as JSON and count what was written."""
+    lists = {
+        "kpis": kpis(star, as_of),
+        "suppliers": serving.list_suppliers(star, suppliers(star)),
+        "materials": serving.list_materials(star, materials(star), limit=300),
+        "orders": serving.list_purchase_orders(star, as_of),
+        "alerts": serving.list_alerts(alerts(star)),
+        "actions": serving.list_actions(actions(star)),
+        "dq_results": serving.list_quality_results(quality.suite(star, as_of, "run-1", ENDED)),
+    }
+    folder = scratch_path(star.spark, "snapshot")
+    serving.export_snapshot(lists, folder)
+    result = None
+    for name, df in lists.items():
+        one = star.spark.read.schema(df.schema).json(f"{folder}/{name}").agg(
+            F.lit(name).alias("list"), F.count(F.lit(1)).alias("n")
+        )
+        result = one if result is None else result.unionByName(one)
+    return result

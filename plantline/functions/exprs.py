@@ -41,31 +41,19 @@ def clip(value: Column, low: float, high: float) -> Column:
     return F.least(F.greatest(value, F.lit(low)), F.lit(high))
 
 
-def round_half_even(value: Column, places: int) -> Column:
-    """Round a double by its exact binary value, ties to even.
+def fixed_text(value: Column, places: int) -> Column:
+    """Fixed-point text of a double, rounded by its exact binary value with ties to even.
 
     ``round``/``bround`` decide on the shortest decimal text, where 2.675 counts
-    as a tie. Here the product with the power of ten is kept together with its
-    rounding error (the value is split in two halves whose products are exact),
-    so only true ties count as ties.
+    as a tie; the number formatter only takes true ties for ties.
     """
-    power = float(10**places)
-    x = value.cast("double")
-    if places == 0:
-        return F.rint(x)
-    spread = x * F.lit(134217729.0)
-    high = spread - (spread - x)
-    low = x - high
-    product = x * F.lit(power)
-    error = (high * F.lit(power) - product) + low * F.lit(power)
-    floor = F.floor(product).cast("double")
-    tie = (product - floor) == 0.5
-    rounded = (
-        F.when(tie & (error > 0), floor + 1.0)
-        .when(tie & (error < 0), floor)
-        .otherwise(F.rint(product))
-    )
-    return rounded / F.lit(power)
+    pattern = "0" if places == 0 else "0." + "0" * places
+    return F.call_function("format_number", value.cast("double"), F.lit(pattern))
+
+
+def round_half_even(value: Column, places: int) -> Column:
+    """The double nearest to ``fixed_text``."""
+    return F.rint(value) if places == 0 else fixed_text(value, places).cast("double")
 
 
 def round_scaled(value: Column, places: int) -> Column:
@@ -74,11 +62,6 @@ def round_scaled(value: Column, places: int) -> Column:
     return F.rint(value * power) / power
 
 
-def fixed_text(value: Column, places: int) -> Column:
-    """Fixed-point text, ties to even."""
-    return F.format_string(f"%.{places}f", round_half_even(value, places))
-
-
 def grouped_text(value: Column) -> Column:
     """Whole number with thousands separators."""
     return F.format_number(round_half_even(value, 0), 0)

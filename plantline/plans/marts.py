@@ -48,8 +48,8 @@ def spend_totals(t: Tables) -> DataFrame:
     )
 
 
-def supplier_performance(t: Tables, as_of: date | None = None) -> DataFrame:
-    """One row per supplier: deliveries, punctuality, defects, spend and rank in its category."""
+def supplier_figures(t: Tables) -> DataFrame:
+    """One row per supplier: deliveries, punctuality, defects and spend, without the rank."""
     delivered = F.coalesce("total_deliveries", F.lit(0))
     joined = (
         t["dim_supplier"]
@@ -60,7 +60,7 @@ def supplier_performance(t: Tables, as_of: date | None = None) -> DataFrame:
         .join(spend_totals(t), "supplier_id", "left")
     )
     zero = F.lit(0.0)
-    scored = joined.select(
+    return joined.select(
         "supplier_id",
         F.col("code").alias("supplier_code"),
         F.col("name").alias("supplier_name"),
@@ -82,11 +82,15 @@ def supplier_performance(t: Tables, as_of: date | None = None) -> DataFrame:
         F.coalesce(F.col("on_time_deliveries"), F.lit(0)).alias("on_time_deliveries"),
         F.coalesce(real_ratio(F.col("on_time_deliveries"), F.col("total_deliveries")), F.lit(1.0)).alias("_share"),
     )
+
+
+def supplier_performance(t: Tables, as_of: date | None = None) -> DataFrame:
+    """The supplier figures with the rank in the category, by punctuality and then defect rate."""
     # Blocks of one millionth of the punctuality range; within a block the defect
     # rate is a whole number of at most a million, so blocks stay small.
     block = F.floor((1.0 - F.col("_share")) * 1_000_000)
     ranked = dense_ranks(
-        scored, ["supplier_category"], [("_share", False), ("overall_defect_ppm", True)], "category_rank", block
+        supplier_figures(t), ["supplier_category"], [("_share", False), ("overall_defect_ppm", True)], "category_rank", block
     )
     return ranked.drop("_share")
 

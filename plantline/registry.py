@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantline import cases
-from plantline.plans import analytics, comparisons, marts, quality, trends
+from plantline.plans import analytics, charts, comparisons, marts, quality, serving, trends
+from plantline.risk import features, models
 from plantline.sources.star import AS_OF, StarSchema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +103,55 @@ register("dq_suite_stored", cases.dq_suite_stored)
 register("dq_alerts", cases.dq_alerts)
 register("dq_dataset_contracts", cases.dq_contracts)
 register("dq_constraints", cases.dq_constraints)
+
+register("risk_supplier_features", features.supplier_features)
+register("risk_material_features", cases.material_feature_rows)
+register("open_pos_by_warehouse", features.open_orders_by_warehouse)
+register("risk_supplier_rule_score", cases.supplier_rule_scores)
+register("risk_stockout_rule_score", cases.stockout_rule_scores)
+register("risk_supplier_factors", cases.supplier_factor_rows)
+register("risk_stockout_factors", cases.stockout_factor_rows)
+register("risk_tiers", cases.tier_counts)
+register("risk_supplier_predictions", cases.supplier_prediction_rows)
+register("risk_stockout_predictions", cases.stockout_prediction_rows)
+register("risk_supplier_narrative", cases.supplier_narratives)
+register("risk_stockout_narrative", cases.stockout_narratives)
+register("risk_supplier_model", models.supplier_model_scores)
+register("risk_stockout_model", models.stockout_model_scores)
+register("eval_regression", cases.eval_regression)
+register("eval_classification", cases.eval_classification)
+register("eval_roc_auc", cases.eval_roc_auc)
+register("eval_report", models.evaluation_report)
+register("scoring_alerts", cases.day_alerts)
+register("scoring_summary", serving.scoring_summary)
+register("insert_alerts_if_absent", cases.alerts_inserted)
+register("upsert_supplier_scores", cases.supplier_scores_upserted)
+register("upsert_stockout_scores", cases.stockout_scores_upserted)
+
+register("kpi_executive", cases.kpis)
+register("list_suppliers", cases.list_suppliers)
+register(
+    "list_suppliers_filtered", cases.list_suppliers, tier="TIER_2", category="CAT_1", risk="CRITICAL", search="ER#0"
+)
+register("supplier_detail", cases.supplier_detail, supplier_id=7)
+register("search_suppliers", cases.list_suppliers, search="Nation_1", search_in=("name", "code", "country"))
+register("list_materials", cases.list_materials)
+register("list_purchase_orders", serving.list_purchase_orders)
+register(
+    "search_orders", serving.list_purchase_orders, search="R#000000001", search_in=("po_number", "supplier_name"),
+    limit=None,
+)
+register("distinct_categories", serving.filter_boxes)
+register("alerts_from_scores", cases.seeded_alerts)
+register("actions_from_alerts", cases.seeded_actions)
+register("list_alerts", cases.list_alerts, severity="CRITICAL", alert_type="STOCKOUT")
+register("list_critical_active_alerts", cases.list_alerts, severity="CRITICAL", status="ACTIVE", limit=4)
+register("list_actions", cases.list_actions, status="OPEN")
+register("list_governance", cases.list_governance)
+register("apply_alert_updates", cases.alerts_updated)
+register("create_actions", cases.actions_created)
+register("apply_action_updates", cases.actions_updated)
+register("snapshot_export", cases.snapshot)
+
+for _name, _chart in charts.CHARTS.items():
+    register(_name, _chart)
