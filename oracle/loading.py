@@ -183,7 +183,7 @@ QUERIES = {
         UNION ALL SELECT 'run-2', 'MOVEMENTS_LOAD', 'BATCH-1', '2001-05-15 06:04:00', NULL, NULL, 0, 0, 0,
                'RUNNING', NULL""",
     "upsert_suppliers": """
-        WITH known_sup AS (FROM dim_supplier WHERE supplier_id % 3 <> 0),
+        WITH known_sup AS (FROM dim_supplier WHERE tier <> 'TIER_2'),
              batch_sup AS (FROM judged_suppliers WHERE error_code IS NULL)
         SELECT coalesce(b.supplier_id, k.supplier_id::VARCHAR) AS supplier_id,
                coalesce('OLD-' || k.supplier_id, b.code) AS code,
@@ -200,7 +200,7 @@ QUERIES = {
                CASE WHEN b.code IS NULL THEN '2001-01-01' ELSE '2001-05-15' END AS updated_at
         FROM known_sup k FULL JOIN batch_sup b ON b.supplier_id = k.supplier_id::VARCHAR""",
     "upsert_materials": """
-        WITH known_mat AS (FROM dim_material WHERE material_id % 3 <> 0),
+        WITH known_mat AS (FROM dim_material WHERE lead_time_days >= 20),
              batch_mat AS (FROM judged_materials WHERE error_code IS NULL)
         SELECT coalesce(b.material_id, k.material_id::VARCHAR) AS material_id, coalesce(b.sku, k.sku) AS sku,
                coalesce(b.name, 'former name') AS name, coalesce(b.category, k.category) AS category,
@@ -220,16 +220,17 @@ QUERIES = {
                CASE WHEN b.sku IS NULL THEN '2001-01-01' ELSE '2001-05-15' END AS updated_at
         FROM known_mat k FULL JOIN batch_mat b ON b.material_id = k.material_id::VARCHAR""",
     "upsert_purchase_orders": """
+        WITH order_sides AS (SELECT *, order_date >= DATE '2000-07-01' AS offered, order_date < DATE '2001-01-01' AS known
+                             FROM fact_purchase_orders)
         SELECT po_id, po_number, supplier_id,
-               CASE WHEN po_id % 3 = 0 THEN -1 ELSE warehouse_id END::BIGINT AS warehouse_id,
+               CASE WHEN known THEN warehouse_id ELSE -1 END::BIGINT AS warehouse_id,
                factory_id::BIGINT AS factory_id, order_date::VARCHAR AS order_date,
-               (promised_delivery_date + CASE WHEN po_id % 5 = 0 THEN 1 ELSE 0 END)::VARCHAR
-                   AS promised_delivery_date,
-               CASE WHEN po_id % 5 = 0 THEN 'DELIVERED' ELSE status END AS status,
-               (total_amount + CASE WHEN po_id % 5 = 0 THEN 1 ELSE 0 END)::DOUBLE AS total_amount, currency,
-               CASE WHEN po_id % 3 = 0 THEN '2001-05-15' ELSE '2001-01-01' END AS created_at,
-               CASE WHEN po_id % 5 = 0 THEN '2001-05-15' ELSE '2001-01-01' END AS updated_at
-        FROM fact_purchase_orders WHERE po_id % 3 <> 0 OR po_id % 5 = 0""",
+               (promised_delivery_date + CASE WHEN offered THEN 1 ELSE 0 END)::VARCHAR AS promised_delivery_date,
+               CASE WHEN offered THEN 'DELIVERED' ELSE status END AS status,
+               (total_amount + CASE WHEN offered THEN 1 ELSE 0 END)::DOUBLE AS total_amount, currency,
+               CASE WHEN known THEN '2001-01-01' ELSE '2001-05-15' END AS created_at,
+               CASE WHEN offered THEN '2001-05-15' ELSE '2001-01-01' END AS updated_at
+        FROM order_sides""",
     "append_movements": """
         SELECT movement_id, material_id, warehouse_id::BIGINT AS warehouse_id,
                movement_date::VARCHAR AS movement_date, movement_type, quantity::BIGINT AS quantity,
@@ -281,7 +282,7 @@ _ASSERTIONS = {
         "warehouse-material combinations with negative cumulative stock."),
     "dq_orphan_receipts": _assertion(
         "assert_no_orphaned_goods_receipts", "fact_goods_receipts", "REFERENTIAL",
-        "SELECT count(*) FROM fact_goods_receipts WHERE po_id % 1999 = 0", "CRITICAL",
+        "SELECT count(*) FROM fact_goods_receipts JOIN fact_purchase_orders USING (po_id) WHERE status = 'OVERDUE'", "CRITICAL",
         "orphaned goods receipt records without parent PO."),
     "dq_receipt_chronology": _assertion(
         "assert_delivery_date_chronology", "fact_goods_receipts", "POSITIVE_VALUE",
@@ -315,7 +316,7 @@ _ASSERTIONS = {
 QUERIES.update(_ASSERTIONS)
 
 PARTS["dq_all"] = "\nUNION ALL ".join(
-    text if key != "dq_orphan_receipts" else text.replace("po_id % 1999 = 0", "false")
+    text if key != "dq_orphan_receipts" else text.replace("WHERE status = 'OVERDUE'", "WHERE false")
     for key, text in _ASSERTIONS.items()
 )
 QUERIES["dq_suite"] = "SELECT *, 'run-1' AS run_id FROM dq_all"

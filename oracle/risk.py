@@ -264,12 +264,12 @@ QUERIES = {
         FROM day_alerts""",
     "upsert_supplier_scores": """
         SELECT supplier_id, '2001-05-15' AS score_date, risk_score, risk_tier,
-               CASE WHEN supplier_id % 3 = 0 THEN otd_rate_90d ELSE 0 END::DOUBLE AS otd_rate_90d,
+               CASE WHEN single_source_material_count > 0 THEN otd_rate_90d ELSE 0 END::DOUBLE AS otd_rate_90d,
                defect_ppm_90d, lead_time_variance_avg, financial_risk_score, single_source_material_count,
                story AS explanation_text FROM sup_story""",
     "upsert_stockout_scores": """
         SELECT material_id, '2001-05-15' AS score_date, stockout_risk_score, risk_tier,
-               CASE WHEN material_id % 3 = 0 THEN current_stock ELSE -1 END::BIGINT AS current_stock,
+               CASE WHEN days_of_inventory >= 30 THEN current_stock ELSE -1 END::BIGINT AS current_stock,
                days_of_inventory, safety_stock_ratio, 1.0::DOUBLE AS consumption_trend_factor,
                1::BIGINT AS open_po_count, story AS explanation_text FROM mat_story""",
     "kpi_executive": """

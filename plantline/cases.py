@@ -12,7 +12,7 @@ from plantline.operators.calendar import calendar_of
 from plantline.operators.merge import insert_absent, new_movements
 from plantline.plans import incidents, loading, quality, serving
 from plantline.risk import evaluation, features
-from plantline.session import scratch_path
+from plantline.session import cut_lineage, scratch_path
 from plantline.sources import csv_files
 from plantline.sources.raw_batches import BATCHES, SEQ
 from plantline.sources.star import StarSchema
@@ -78,7 +78,7 @@ def _stamp_columns(df: DataFrame) -> DataFrame:
 
 
 def upsert_suppliers(star: StarSchema, as_of: date) -> DataFrame:
-    known = star["dim_supplier"].where("supplier_id % 3 <> 0").withColumns({
+    known = star["dim_supplier"].where("tier <> 'TIER_2'").withColumns({
         "supplier_id": F.col("supplier_id").cast("string"),
         "code": F.concat(F.lit("OLD-"), "supplier_id"),
         "name": F.lit("former name"),
@@ -88,7 +88,7 @@ def upsert_suppliers(star: StarSchema, as_of: date) -> DataFrame:
 
 
 def upsert_materials(star: StarSchema, as_of: date) -> DataFrame:
-    known = star["dim_material"].where("material_id % 3 <> 0").withColumns({
+    known = star["dim_material"].where("lead_time_days >= 20").withColumns({
         "material_id": F.col("material_id").cast("string"),
         "primary_supplier_id": F.col("primary_supplier_id").cast("string"),
         "secondary_supplier_id": F.col("secondary_supplier_id").cast("string"),
@@ -100,14 +100,15 @@ def upsert_materials(star: StarSchema, as_of: date) -> DataFrame:
 
 
 def upsert_purchase_orders(star: StarSchema, as_of: date) -> DataFrame:
+    """Known: orders up to the end of 2000. Batch: orders since July 2000, so half a year overlaps."""
     orders = star["fact_purchase_orders"]
-    batch = orders.where("po_id % 5 = 0").withColumns({
+    batch = orders.where("order_date >= date'2000-07-01'").withColumns({
         "status": F.lit("DELIVERED"),
         "total_amount": (F.col("total_amount") + 1).cast("decimal(14,2)"),
         "promised_delivery_date": F.date_add("promised_delivery_date", 1),
         "warehouse_id": F.lit(-1),
     })
-    return loading.upsert_purchase_orders(_stamp_columns(orders.where("po_id % 3 <> 0")), batch, as_of)
+    return loading.upsert_purchase_orders(_stamp_columns(orders.where("order_date < date'2001-01-01'")), batch, as_of)
 
 
 def _ledger_and_batch(star: StarSchema, as_of: date) -> tuple[DataFrame, DataFrame]:
@@ -205,8 +206,8 @@ def alerts_absent(target: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def orphan_receipts(star: StarSchema, as_of: date) -> DataFrame:
-    """Orders with a key divisible by 1999 are withheld, so their receipts are orphans."""
-    kept = star["fact_purchase_orders"].where("po_id % 1999 <> 0")
+    """Overdue orders are withheld, so the receipts against them are orphans."""
+    kept = star["fact_purchase_orders"].where("status <> 'OVERDUE'")
     return quality.orphan_receipts({**star, "fact_purchase_orders": kept}, as_of)
 
 
@@ -335,11 +336,12 @@ def eval_roc_auc(star: StarSchema, as_of: date) -> DataFrame:
 
 
 def alerts(star: StarSchema) -> DataFrame:
-    return incidents.seed_alerts(suppliers(star), materials(star), NOW)
+    """At most 30 rows; fixed in shared storage like the alert table of a deployment."""
+    return cut_lineage(incidents.seed_alerts(suppliers(star), materials(star), NOW))
 
 
-def actions(star: StarSchema) -> DataFrame:
-    return incidents.seed_actions(alerts(star), NOW)
+def actions(star: StarSchema, from_alerts: DataFrame | None = None) -> DataFrame:
+    return incidents.seed_actions(alerts(star) if from_alerts is None else from_alerts, NOW)
 
 
 def seeded_alerts(star: StarSchema, as_of: date) -> DataFrame:
@@ -351,7 +353,8 @@ def seeded_actions(star: StarSchema, as_of: date) -> DataFrame:
 
 
 def kpis(star: StarSchema, as_of: date) -> DataFrame:
-    return serving.executive_kpis(star, suppliers(star), materials(star), alerts(star), actions(star))
+    raised = alerts(star)
+    return serving.executive_kpis(star, suppliers(star), materials(star), raised, actions(star, raised))
 
 
 def list_suppliers(star: StarSchema, as_of: date, **filters) -> DataFrame:
@@ -409,7 +412,7 @@ def alerts_inserted(star: StarSchema, as_of: date) -> DataFrame:
 
 def supplier_scores_upserted(star: StarSchema, as_of: date) -> DataFrame:
     rows = incidents.supplier_score_rows(suppliers(star), as_of)
-    stale = rows.where("supplier_id % 3 <> 0").withColumns({
+    stale = rows.where("single_source_material_count = 0").withColumns({
         "risk_score": F.lit(50.0), "risk_tier": F.lit("MEDIUM"), "otd_rate_90d": F.lit(0.0),
         "explanation_text": F.lit("stale"),
     })
@@ -418,7 +421,7 @@ def supplier_scores_upserted(star: StarSchema, as_of: date) -> DataFrame:
 
 def stockout_scores_upserted(star: StarSchema, as_of: date) -> DataFrame:
     rows = incidents.stockout_score_rows(materials(star), as_of)
-    stale = rows.where("material_id % 3 <> 0").withColumns({
+    stale = rows.where("days_of_inventory < 30").withColumns({
         "stockout_risk_score": F.lit(50.0), "risk_tier": F.lit("MEDIUM"), "current_stock": F.lit(-1).cast("bigint"),
         "explanation_text": F.lit("stale"),
     })
@@ -443,7 +446,8 @@ def alerts_updated(star: StarSchema, as_of: date) -> DataFrame:
 
 def actions_created(star: StarSchema, as_of: date) -> DataFrame:
     """One action for every alert beyond the first six; priority given only where it is HIGH."""
-    requests = alerts(star).where(_number("alert_id") > incidents.FIRST_ACTIONS).select(
+    raised = alerts(star)
+    requests = raised.where(_number("alert_id") > incidents.FIRST_ACTIONS).select(
         _number("alert_id").alias("request_id"),
         "alert_id",
         F.concat(F.lit("Mitigate: "), "title").alias("title"),
@@ -451,7 +455,7 @@ def actions_created(star: StarSchema, as_of: date) -> DataFrame:
         F.lit(incidents.LEAD).alias("assigned_to"),
         F.when(F.col("severity") == "HIGH", F.col("severity")).alias("priority"),
     )
-    return incidents.create_actions(actions(star), requests, LATER_THAT_DAY).select(
+    return incidents.create_actions(actions(star, raised), requests, LATER_THAT_DAY).select(
         "action_id", "alert_id", "title", "description", "assigned_to", "priority", "status", "created_at",
         "resolved_at",
     )
@@ -471,13 +475,16 @@ def actions_updated(star: StarSchema, as_of: date) -> DataFrame:
 
 def snapshot(star: StarSchema, as_of: date) -> DataFrame:
     """Export all lists as JSON and count what was written."""
+    scored, stocked = cut_lineage(suppliers(star)), cut_lineage(materials(star))
+    raised = cut_lineage(incidents.seed_alerts(scored, stocked, NOW))
+    opened = actions(star, raised)
     lists = {
-        "kpis": kpis(star, as_of),
-        "suppliers": serving.list_suppliers(star, suppliers(star)),
-        "materials": serving.list_materials(star, materials(star), limit=300),
+        "kpis": serving.executive_kpis(star, scored, stocked, raised, opened),
+        "suppliers": serving.list_suppliers(star, scored),
+        "materials": serving.list_materials(star, stocked, limit=300),
         "orders": serving.list_purchase_orders(star, as_of),
-        "alerts": serving.list_alerts(alerts(star)),
-        "actions": serving.list_actions(actions(star)),
+        "alerts": serving.list_alerts(raised),
+        "actions": serving.list_actions(opened),
         "dq_results": serving.list_quality_results(quality.suite(star, as_of, "run-1", ENDED)),
     }
     folder = scratch_path(star.spark, "snapshot")

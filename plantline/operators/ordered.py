@@ -40,9 +40,8 @@ def running_totals(
     )
     inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = blocked.withColumns({f"_r_{n}": F.sum(f"_m_{n}").over(inside) for n in names})
-    joined = local.join(starts, group)
-    return joined.select(
-        *[joined[c] for c in df.columns],
+    return local.join(starts, group).select(
+        *df.columns,
         *[(F.col(f"_s_{n}") + F.coalesce(F.col(f"_r_{n}"), F.lit(0))).alias(n) for n in names],
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from plantline.functions.exprs import ratio, real_ratio
 from plantline.operators.ordered import running_totals, trailing_sums
 from plantline.plans.marts import MONEY, Tables, production_at_risk
-from plantline.sources.warehouse import ledger_between
+from plantline.sources.warehouse import LEDGER_RANGE, ledger_between
 
 CELL = ["material_id", "warehouse_id"]
 LEDGER_ORDER = ["movement_date", "movement_id", "quantity"]
@@ -57,9 +57,11 @@ def material_balance_formatted(t: Tables, as_of: date | None, material_id: int,
     )
 
 
-def material_balance(t: Tables, as_of: date | None, material_id: int, since: date) -> DataFrame:
+def material_balance(
+    t: Tables, as_of: date | None, material_id: int, since: date, declared: tuple[date, date] = LEDGER_RANGE
+) -> DataFrame:
     """The same rows by a date comparison, which is pushed into the scan and prunes ledger quarters."""
-    ledger = ledger_between(t["fact_inventory_movements"], since)
+    ledger = ledger_between(t["fact_inventory_movements"], since, declared=declared)
     return balance_and_burn(ledger.where(F.col("material_id") == material_id))
 
 

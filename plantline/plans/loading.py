@@ -186,6 +186,7 @@ def load_movements(
     fresh = new_movements(ledger, batch.select(*columns), warehouse.declared)
     # The ledger is read to find the new rows, so these are fixed before it is written to.
     write_ledger(cut_lineage(fresh), warehouse.path(LEDGER), warehouse.declared, mode="append")
+    warehouse.refresh(LEDGER)
     offered = batch.agg(
         F.lit(run_id).alias("run_id"), F.lit(at).alias("end_time"), F.lit("SUCCESS").alias("status"),
         F.count(F.lit(1)).alias("rows_extracted"), F.count(F.lit(1)).alias("rows_loaded"),

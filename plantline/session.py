@@ -14,7 +14,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call-site capture for error messages costs a stack walk per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

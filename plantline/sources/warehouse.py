@@ -81,6 +81,7 @@ class Warehouse(Mapping[str, DataFrame]):
         self.root = root.rstrip("/")
         self.names = names
         self.declared = declared
+        self._opened: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -88,7 +89,13 @@ class Warehouse(Mapping[str, DataFrame]):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.names:
             raise KeyError(name)
-        return self.spark.read.parquet(self.path(name))
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(self.path(name))
+        return self._opened[name]
+
+    def refresh(self, name: str) -> None:
+        """Forget the file listing of a table that was written to."""
+        self._opened.pop(name, None)
 
     def __iter__(self) -> Iterator[str]:
         return iter(self.names)
