@@ -17,6 +17,7 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.sql.execution.arrow.pyspark.enabled": "true",
         },
     )
