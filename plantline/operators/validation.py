@@ -52,6 +52,7 @@ class FieldSpec:
     default: object = None
     bounds: tuple[tuple[str, int], ...] = ()
     rule: Rule | None = None
+    after: tuple[str, ...] = ()  # fields whose validity the rule asks for
 
 
 @dataclass(frozen=True)
@@ -61,16 +62,20 @@ class EntitySpec:
 
 
 class Values:
-    """Parsed field values as seen by a rule: ``of`` is the value, ``valid`` is null unless it passed its checks."""
+    """Field values as seen by a rule: ``of`` is the parsed value, ``valid`` is null unless the field passed.
+
+    Parsed values and errors are columns of the checked batch, so that each is
+    computed once per row however many checks read it.
+    """
 
     def __init__(self, spec: EntitySpec):
         self.specs = {f.name: f for f in spec.fields}
 
     def of(self, name: str) -> Column:
-        return parsed(self.specs[name])
+        return raw_text(name) if self.specs[name].kind == "text" else F.col(f"_v_{name}")
 
     def valid(self, name: str) -> Column:
-        return F.when(field_error(self.specs[name], self).isNull(), self.of(name))
+        return F.when(F.col(f"_e_{name}").isNull(), self.of(name))
 
 
 def raw_text(name: str) -> Column:
@@ -82,11 +87,13 @@ def parsed(spec: FieldSpec) -> Column:
     text = raw_text(spec.name)
     word = F.trim(text)
     if spec.kind == "number":
-        value = F.when(word.rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"), word).try_cast("double")
+        # The cast alone would also take NaN, Infinity and the suffixes d and f.
+        value = F.when(~word.rlike("[a-df-zA-DF-Z]"), word.try_cast("double"))
     elif spec.kind == "whole":
-        value = F.when(
-            word.rlike(r"^[+-]?\d+(\.0*)?$"), F.regexp_replace(word, r"\.0*$", "")
-        ).try_cast("bigint")
+        # Text such as 14.0 is a whole number too; the pattern runs only where the cast fails.
+        value = F.coalesce(
+            word.try_cast("bigint"), F.regexp_extract(word, r"^([+-]?\d+)\.0*$", 1).try_cast("bigint")
+        )
     elif spec.kind == "flag":
         lower = F.lower(word)
         value = F.when(lower.isin(*TRUE_WORDS), True).when(lower.isin(*FALSE_WORDS), False)
@@ -100,7 +107,7 @@ def parsed(spec: FieldSpec) -> Column:
 def field_error(spec: FieldSpec, values: Values) -> Column:
     """Message of the first failed check of one field, or null."""
     missing = raw_text(spec.name).isNull()
-    value = parsed(spec)
+    value = values.of(spec.name)
     checks: list[tuple[Column, Column]] = []
     if spec.required and spec.default is None:
         checks.append((missing, F.lit(MISSING)))
@@ -112,8 +119,7 @@ def field_error(spec: FieldSpec, values: Values) -> Column:
         checks.append((broken, F.lit(BOUND_TEXT[bound].format(limit))))
     result = F.lit(None).cast("string")
     if spec.rule is not None:
-        problem = spec.rule(values)
-        result = F.when(~missing & problem.isNotNull(), F.concat(F.lit("Value error, "), problem))
+        result = F.when(~missing, F.concat(F.lit("Value error, "), spec.rule(values)))
     for broken, message in reversed(checks):
         result = F.when(broken, message).otherwise(result)
     return result
@@ -195,7 +201,9 @@ ENTITIES: dict[str, EntitySpec] = {
         FieldSpec("standard_cost", "number", bounds=POSITIVE),
         FieldSpec("current_unit_price", "number", bounds=POSITIVE),
         FieldSpec("safety_stock_level", "whole", bounds=NOT_NEGATIVE),
-        FieldSpec("reorder_point", "whole", bounds=NOT_NEGATIVE, rule=reorder_covers_safety),
+        FieldSpec(
+            "reorder_point", "whole", bounds=NOT_NEGATIVE, rule=reorder_covers_safety, after=("safety_stock_level",)
+        ),
         FieldSpec("target_stock_level", "whole", bounds=NOT_NEGATIVE),
         FieldSpec("min_order_qty", "whole", bounds=POSITIVE),
         FieldSpec("lead_time_days", "whole", bounds=POSITIVE),
@@ -213,7 +221,7 @@ ENTITIES: dict[str, EntitySpec] = {
     "inventory_movements": EntitySpec("movement_id", (
         *_texts("movement_id", "material_id", "warehouse_id", "factory_id", "movement_date"),
         FieldSpec("movement_type", rule=known_movement_type),
-        FieldSpec("quantity", "whole", rule=quantity_sign),
+        FieldSpec("quantity", "whole", rule=quantity_sign, after=("movement_type",)),
         *_texts("reference_doc_type", "reference_doc_id"),
     )),
 }
@@ -225,28 +233,35 @@ def with_all_fields(raw: DataFrame, spec: EntitySpec) -> DataFrame:
     return raw.withColumns(absent) if absent else raw
 
 
+def checked(raw: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Add ``_problem``: the errors of all fields in field order, empty for a row that passes."""
+    values = Values(spec)
+    typed = raw.withColumns({f"_v_{f.name}": parsed(f) for f in spec.fields if f.kind != "text"})
+    first = typed.withColumns({f"_e_{f.name}": field_error(f, values) for f in spec.fields if not f.after})
+    dependent = {f"_e_{f.name}": field_error(f, values) for f in spec.fields if f.after}
+    judged = first.withColumns(dependent) if dependent else first
+    lines = [F.concat(F.lit(f"{f.name}: "), F.col(f"_e_{f.name}")) for f in spec.fields]
+    return judged.select(*raw.columns, F.concat_ws("; ", *lines).alias("_problem"))
+
+
 def classify(entity: str, raw: DataFrame, seq: str) -> DataFrame:
     """The batch with ``error_code`` and ``error_reason``, both null for a valid row.
 
     ``seq`` gives the batch order and must be unique.
     """
     spec = ENTITIES[entity]
-    values = Values(spec)
-    messages = [
-        F.concat(F.lit(f"{f.name}: "), field_error(f, values)) for f in spec.fields
-    ]
-    checked = with_all_fields(raw, spec).withColumn("_errors", F.array_compact(F.array(*messages)))
-    claimed = checked.where(F.size("_errors") == 0).groupBy(spec.key).agg(F.min(seq).alias("_claimed_at"))
-    joined = checked.join(claimed, spec.key, "left")
+    batch = with_all_fields(raw, spec)
+    rows = checked(batch, spec)
+    claimed = rows.groupBy(spec.key).agg(F.min(F.when(F.col("_problem") == "", F.col(seq))).alias("_claimed_at"))
     duplicate = F.col(seq) > F.col("_claimed_at")
-    invalid = F.size("_errors") > 0
-    return joined.select(
-        *checked.drop("_errors").columns,
+    invalid = F.col("_problem") != ""
+    return rows.join(claimed, spec.key, "left").select(
+        *batch.columns,
         F.when(duplicate, ERR_DUPLICATE).when(invalid, ERR_SCHEMA).alias("error_code"),
         F.when(
             duplicate,
             F.concat(F.lit("Duplicate primary business key '"), raw_text(spec.key), F.lit("' detected in batch.")),
-        ).when(invalid, F.array_join("_errors", "; ")).alias("error_reason"),
+        ).when(invalid, F.col("_problem")).alias("error_reason"),
     )
 
 
