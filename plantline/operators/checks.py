@@ -89,11 +89,15 @@ def _with_zeros(found: DataFrame, names: Sequence[tuple[str, str, str]]) -> Data
 
 def duplicate_keys(tables: Mapping[str, DataFrame], checks: Sequence[KeyCheck]) -> DataFrame:
     """Surplus rows per key check. Null keys do not clash, as in SQL."""
+    def key(check: KeyCheck) -> Column:
+        if len(check.columns) == 1:
+            return F.col(check.columns[0]).cast("string")
+        return F.to_json(F.struct(*check.columns))
+
     tagged = [
         tables[c.table]
-        .select(*c.columns)
         .dropna(subset=list(c.columns))
-        .select(F.lit(c.name).alias("constraint_name"), F.to_json(F.struct(*c.columns)).alias("_key"))
+        .select(F.lit(c.name).alias("constraint_name"), key(c).alias("_key"))
         for c in checks
     ]
     surplus = (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plantline.functions.exprs import quotient, ratio, real_ratio
 from plantline.operators.ordered import dense_ranks
 from plantline.plans.marts import Tables
+from plantline.session import cut_lineage
 
 
 def by_month():
@@ -87,8 +88,10 @@ def rolling_3m(t: Tables, as_of: date | None = None) -> DataFrame:
 
 def ranked_months(t: Tables) -> DataFrame:
     """Rank by the unrounded rolling mean. A mean of at most three two-decimal
-    percentages has under 61,000 values, which bounds each ranked group."""
-    return dense_ranks(rolled(t), ["category", "delivery_month"], [("rolling_rank_value", False)], "category_rank")
+    percentages has under 61,000 values, which bounds each ranked group.
+
+    The monthly rows are stored first, as ranking reads them twice."""
+    return dense_ranks(cut_lineage(rolled(t)), ["category", "delivery_month"], [("rolling_rank_value", False)], "category_rank")
 
 
 def rank_monthly(t: Tables, as_of: date | None = None) -> DataFrame:
