@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plantline.functions.exprs import round_half_even
 from plantline.operators.merge import unique_rows
+from plantline.operators.ordered import running_totals
 from plantline.risk.narrative import stockout_text, supplier_text
 from plantline.risk.scoring import stockout_predictions, supplier_predictions
 
@@ -18,6 +19,7 @@ STOCKOUT_VALUE, SUPPLIER_VALUE = 450.0, 320.0
 FIRST_ACTIONS = 6
 DUE_DAYS = 7
 ACTION_PREFIX = "CA-2026-"
+REQUESTS_PER_BLOCK = 4096
 LEAD, ENGINEER = "Lead Strategic Procurement Manager", "Senior DI Engineer"
 ROOT_CAUSE = "Tier-2 raw material supply bottleneck at regional port facility."
 PLAN = (
@@ -114,12 +116,10 @@ def apply_alert_updates(alerts: DataFrame, updates: DataFrame, now: datetime) ->
     )
 
 
-def create_actions(actions: DataFrame, requests: DataFrame, now: datetime, chunk_key: str = "request_id") -> DataFrame:
-    """Open new actions numbered on from the actions there are, in the order of ``request_id``.
-
-    A request is typed in by a person, so a batch is small; it is numbered in one
-    window and must not be used for bulk loads.
-    """
+def create_actions(actions: DataFrame, requests: DataFrame, now: datetime) -> DataFrame:
+    """Open new actions numbered on from the actions there are, in the order of the whole number ``request_id``."""
+    block = F.floor(F.col("request_id") / REQUESTS_PER_BLOCK)
+    requests = running_totals(requests, [], block, [F.col("request_id")], {"_n": F.lit(1)})
     count = actions.agg(F.count(F.lit(1))).scalar()
     stamp = F.lit(now).cast(NO_TIME)
     given = set(requests.columns)
@@ -127,8 +127,7 @@ def create_actions(actions: DataFrame, requests: DataFrame, now: datetime, chunk
     def text(name: str) -> Column:
         return F.col(name) if name in given else F.lit(None).cast(NO_TEXT)
 
-    number = F.row_number().over(Window.orderBy(chunk_key)) + count
-    digits = number.cast("string")
+    digits = (F.col("_n") + count).cast("string")
     return requests.select(
         F.concat(
             F.lit(ACTION_PREFIX), F.lpad(digits, F.greatest(F.lit(4), F.length(digits)), F.lit("0"))

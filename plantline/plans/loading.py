@@ -16,7 +16,7 @@ from plantline.operators.merge import insert_absent, new_movements, unique_rows,
 from plantline.plans import marts
 from plantline.session import cut_lineage
 from plantline.sources import csv_files
-from plantline.sources.warehouse import LEDGER, QUARTER, Warehouse, current, publish, write_ledger
+from plantline.sources.warehouse import LEDGER, QUARTER, Warehouse, current, current_or, publish, write_ledger
 
 log = logging.getLogger(__name__)
 
@@ -122,7 +122,9 @@ def run_ingest(
     """Validate and merge the three entity files; returns the closed audit row.
 
     The classified batch is checkpointed, as the accepted rows, the dead letters
-    and the counts all read it. A missing file is skipped with a warning.
+    and the counts all read it. A missing file is skipped with a warning. Each
+    run publishes a new version of the tables it merges and starts from the
+    latest one, so a failed run leaves the tables as they were.
     """
     upserts = {
         "suppliers": ("dim_supplier", upsert_suppliers),
@@ -141,14 +143,19 @@ def run_ingest(
             validation.rejected(entity, classified, seq, raw.columns, INGEST_RUN, batch_id), f"{output}/rejected"
         )
         table, merge = upserts[entity]
-        target = warehouse[table]
+        target = current_or(spark, output, table, warehouse[table])
         merged = merge(target, validation.accepted(entity, classified), as_of)
-        publish(merged, output, table, run_id)
+        publish(merged, output, table, version_of(as_of))
         one = validation.batch_counts(entity, classified)
         counts = one if counts is None else counts.unionByName(one)
     return audit_finish(audit, ingest_result(spark, counts, run_id, as_of))
 
 
+def version_of(at: datetime) -> str:
+    """Version names sort by time."""
+    return f"{at:%Y%m%dT%H%M%S}"
+
+
 def ingest_result(spark: SparkSession, counts: DataFrame | None, run_id: str, end: datetime) -> DataFrame:
     if counts is None:
         return spark.createDataFrame([(run_id, end, "SUCCESS", 0, 0, 0, None)], schema.RUN_RESULT)

@@ -13,6 +13,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split hot join keys even where that costs another shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
     # Call-site capture for error messages costs a stack walk per column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
-from datetime import date, timedelta
+from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,8 +123,14 @@ class Warehouse(Mapping[str, DataFrame]):
 
 
 def publish(df: DataFrame, root: str, name: str, version: str) -> None:
-    """Add a version of a mart. Readers see it only once its files are committed."""
-    df.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(f"{root}/{name}")
+    """Add a version of a table, or replace it when a job is run again. Readers see it once its files are committed."""
+    (
+        df.withColumn("version", F.lit(version))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("version")
+        .parquet(f"{root}/{name}")
+    )
 
 
 def current(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -133,5 +140,9 @@ def current(spark: SparkSession, root: str, name: str) -> DataFrame:
     return stored.where(F.col("version") == latest).drop("version")
 
 
-def day_after(day: date) -> date:
-    return day + timedelta(days=1)
+def current_or(spark: SparkSession, root: str, name: str, otherwise: DataFrame) -> DataFrame:
+    """The latest version of a table, or ``otherwise`` when none has been published yet."""
+    try:
+        return current(spark, root, name)
+    except AnalysisException:
+        return otherwise
