@@ -348,5 +348,6 @@ QUERIES = {
         UNION ALL SELECT 'materials', least(count(*), 300) FROM dim_material
         UNION ALL SELECT 'orders', least(count(*), 150) FROM fact_purchase_orders
         UNION ALL SELECT 'alerts', count(*) FROM first_alerts UNION ALL SELECT 'actions', count(*) FROM first_actions
-        UNION ALL SELECT 'dq_results', 7""",
+        UNION ALL SELECT 'dq_results', 7 UNION ALL SELECT 'audit', 2
+        UNION ALL SELECT 'rejects', count(error_code) FROM judged_all""",
 }

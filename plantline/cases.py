@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plantline.operators import validation
 from plantline.operators.calendar import calendar_of
-from plantline.operators.merge import insert_absent, new_movements
+from plantline.operators.merge import new_movements
 from plantline.plans import incidents, loading, quality, serving
 from plantline.risk import evaluation, features
 from plantline.session import cut_lineage, scratch_path
@@ -199,12 +199,6 @@ def refreshed_marts(star: StarSchema, as_of: date) -> DataFrame:
     return result
 
 
-def alerts_absent(target: DataFrame, batch: DataFrame) -> DataFrame:
-    return insert_absent(target, batch, loading.ALERT_KEYS)
-
-
-
-
 def orphan_receipts(star: StarSchema, as_of: date) -> DataFrame:
     """Overdue orders are withheld, so the receipts against them are orphans."""
     kept = star["fact_purchase_orders"].where("status <> 'OVERDUE'")
@@ -489,6 +483,8 @@ def snapshot(star: StarSchema, as_of: date) -> DataFrame:
         "alerts": serving.list_alerts(raised),
         "actions": serving.list_actions(opened),
         "dq_results": serving.list_quality_results(quality.suite(star, as_of, "run-1", ENDED)),
+        "audit": serving.list_runs(load_audit(star, as_of)),
+        "rejects": serving.list_rejects(dead_letters(star, as_of).withColumn("rejected_at", F.lit(ENDED))),
     }
     folder = scratch_path(star.spark, "snapshot")
     serving.export_snapshot(lists, folder)

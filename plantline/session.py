@@ -16,6 +16,8 @@ SESSION_DEFAULTS = {
     # Split hot join keys even where that costs another shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Call-site capture for error messages costs a stack walk per column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

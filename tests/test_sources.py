@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from plantline import schema
 from plantline.operators.calendar import fixed_calendar
-from plantline.plans import loading, quality
+from plantline.plans import analytics, loading, quality
 from plantline.sources import csv_files
 from plantline.sources.star import AS_OF, StarSchema
 from plantline.sources.warehouse import (
@@ -136,6 +136,20 @@ def test_entity_files_round_trip(spark, tmp_path):
     assert csv_files.read_text_batch(spark, str(tmp_path / "absent.csv"), "seq") is None
 
 
+def test_folder_of_entity_files_is_a_star(spark, tmp_path):
+    for name, ddl in schema.ENTITY_FILES.items():
+        (tmp_path / f"{name}.csv").write_text(",".join(schema.entity(name).names) + "\n")
+        assert ddl
+    (tmp_path / "purchase_orders.csv").write_text(
+        ",".join(schema.entity("purchase_orders").names)
+        + "\nPO-1,N-1,S-1,F-1,W-1,2026-03-01,2026-04-01,OVERDUE,12.30,USD,2026-03-01 00:00:00\n"
+    )
+    tables = csv_files.read_folder(spark, str(tmp_path))
+    assert set(tables) == set(schema.STAR_TABLE.values())
+    row = analytics.delayed_orders(tables, date(2026, 4, 15)).first()
+    assert (row.days_overdue, str(row.total_amount)) == (14, "12.30")
+
+
 def test_stored_marts_agree_with_direct_ones(spark, tmp_path):
     star = StarSchema(spark, FOLDER)
     loading.refresh_marts(star, spark, str(tmp_path), "1", AS_OF)
