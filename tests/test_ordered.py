@@ -2,6 +2,7 @@
 
 import random
 import statistics
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import Window
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from plantline.operators.grid import pair_with_all
 from plantline.operators.ordered import dense_ranks, exact_median, running_totals, trailing_sums
+from plantline.plans import comparisons
 
 
 @pytest.fixture(scope="module")
@@ -70,3 +72,26 @@ def test_grid_pairs_everything(spark):
     got = {(r.a, r.b) for r in pair_with_all(left, "a", right, copies=8).collect()}
     assert got == {(a, b) for a in range(50) for b in range(7)}
     assert pair_with_all(left, "a", right).count() == 350
+
+
+@pytest.mark.parametrize("hot_rows", [0, 150, 10_000])
+def test_balance_is_the_same_plain_blocked_and_mixed(spark, hot_rows):
+    """With a limit of 150 only the busy cell is cut into blocks."""
+    rng = random.Random(11)
+    data = [
+        (1 if i % 3 else 2 + i % 4, 0, date(2001, 1, 1) + timedelta(days=rng.randint(0, 40)), f"m{i}", rng.randint(-9, 9))
+        for i in range(400)
+    ]
+    moves = spark.createDataFrame(
+        data, "material_id int, warehouse_id int, movement_date date, movement_id string, quantity int"
+    )
+    got = {r.movement_id: r for r in comparisons.balance_and_burn(moves, hot_rows).collect()}
+    seen: dict[int, list[int]] = {}
+    for material, _, day, name, quantity in sorted(data, key=lambda r: (r[0], r[2], r[3])):
+        past = seen.setdefault(material, [])
+        past.append(quantity)
+        outs = [-q for q in past[-31:] if q < 0]
+        assert got[name].running_balance == sum(past)
+        assert got[name].rolling_30d_burn_rate == (sum(outs) / len(outs) if outs else None)
+    balances = {r.movement_id: r.running_balance for r in comparisons.running_balance(moves, hot_rows).collect()}
+    assert balances == {name: r.running_balance for name, r in got.items()}
