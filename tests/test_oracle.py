@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from oracle.registry import ORACLES
+from plantline.registry import QUERIES
 from tests.compare import differences, open_duck
 
 FOLDER = "/root/testdata/sf0.001"
@@ -15,7 +17,8 @@ def duck():
 
 
 def test_only_model_queries_lack_a_text():
-    assert set(queries()) - set(oracle_sql()) == MODEL_KEYS
+    assert set(QUERIES) - set(ORACLES) == MODEL_KEYS
+    assert set(ORACLES) <= set(QUERIES) <= set(queries())
     assert set(oracle_sql()) <= set(queries())
 
 
@@ -23,7 +26,7 @@ def test_entry_has_rows(spark):
     assert entry(spark).count() == 10
 
 
-@pytest.mark.parametrize("key", sorted(oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLES))
 def test_matches_oracle(spark, duck, key):
     got = queries()[key](spark, FOLDER).toPandas()
     assert differences(got, duck.execute(oracle_sql()[key]).df()) == []
