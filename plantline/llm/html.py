@@ -217,18 +217,13 @@ def content(root: Node) -> list[Node]:
     threshold = min((n.density for n in path), default=0.0)
     on_path, chosen = set(map(id, path)), []
 
-    def take(node: Node) -> None:
-        if id(node) not in on_path:
-            if node.density >= threshold:
-                chosen.append(node)
-        elif node is path[0]:
+    waiting = [path[-1]]
+    while waiting:
+        node = waiting.pop()
+        if node is path[0] or (id(node) not in on_path and node.density >= threshold):
             chosen.append(node)
-        else:
-            for part in node.parts:
-                if isinstance(part, Node) and not part.side:
-                    take(part)
-
-    take(path[-1])
+        elif id(node) in on_path:
+            waiting += [p for p in reversed(node.parts) if isinstance(p, Node) and not p.side]
     return chosen
 
 

@@ -50,9 +50,17 @@ def _signature(size: Column, percent: int) -> tuple[Column, Column]:
     )
 
 
+def _runs(tokens: Column, size: int) -> Column:
+    """The shingles themselves, as text."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - size + 1, F.lit(1)))
+    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, size), " "))
+
+
 def item_signatures(items: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Per distinct shingle set its signature rows (hash, set_id, needed), and its items (set_id, item_id, shingles)."""
-    hashed = items.select("item_id", F.array_sort(F.array_distinct(shingle_hashes(words(F.col("text")), shingle))).alias("shingles"))
+    """Per distinct shingle set its signature rows (hash, set_id, needed), and its items (set_id, item_id, tokens, shingles)."""
+    hashed = items.select("item_id", words(F.col("text")).alias("tokens")).withColumn(
+        "shingles", F.array_sort(F.array_distinct(shingle_hashes(F.col("tokens"), shingle)))
+    )
     sets = stored(
         hashed.where(F.size("shingles") > 0).distinct().withColumn("set_id", F.unhex(F.md5(F.to_json("shingles").cast("binary")))), "leak-items"
     )
@@ -80,27 +88,20 @@ def leaks(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int = 80
         .select("doc_id", "row_key", F.explode(pieces(words(F.col("text")), PIECE, shingle - 1)).alias("tokens")),
         "leak-texts",
     )
-    runs = lambda tokens, n: F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(tokens) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(tokens, i, n), " ")
-    )
-    exact_items = items.select("item_id", words(F.col("text")).alias("tokens")).where(F.size("tokens") > 0).select(
-        "item_id", F.explode(F.array_distinct(runs(F.col("tokens"), shingle))).alias("run")
-    )
-    sized = exact_items.groupBy("item_id").agg(F.collect_set("run").alias("runs"))
-    pairs = candidates.join(sets.select("set_id", "item_id"), "set_id").select("row_key", "item_id").distinct()
+    wanted_runs = sets.select("set_id", F.array_distinct(_runs(F.col("tokens"), shingle)).alias("runs")).dropDuplicates(["set_id"])
     found = (
-        pairs.join(sized, "item_id")
+        candidates.join(wanted_runs, "set_id")
         .join(held, "row_key")
         .select(
-            "row_key", "doc_id", "item_id", F.size("runs").alias("n"),
-            F.explode_outer(F.array_intersect("runs", F.array_distinct(runs(F.col("tokens"), shingle)))).alias("run"),
+            "row_key", "doc_id", "set_id", F.size("runs").alias("n"),
+            F.explode(F.array_intersect("runs", F.array_distinct(_runs(F.col("tokens"), shingle)))).alias("run"),
         )
-        .groupBy("row_key", "doc_id", "item_id", "n")
+        .groupBy("row_key", "doc_id", "set_id", "n")
         .agg(F.count_distinct("run").alias("held"))
+        .where(F.col("held") * 100 >= F.col("n") * percent)
     )
-    return found.where(F.col("held") * 100 >= F.col("n") * percent).select(
-        "row_key", "doc_id", "item_id", (F.col("held") / F.col("n")).alias("containment")
-    )
+    named = sets.select("set_id", "item_id").distinct()
+    return found.join(named, "set_id").select("row_key", "doc_id", "item_id", (F.col("held") / F.col("n")).alias("containment"))
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:

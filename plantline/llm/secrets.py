@@ -43,6 +43,8 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 #: Ordinary identifiers and words, for training.
 ORDINARY = re.compile(r"[A-Za-z_][A-Za-z0-9_]{7,}")
 THRESHOLD = 12.0
+#: Weight of a character's own frequency in its probability after another.
+PRIOR = 10.0
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 EDGE, CLASSES = len(ALPHABET), len(ALPHABET) + 1
@@ -104,11 +106,14 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def log_ratio(counts: np.ndarray) -> np.ndarray:
-    """log P(next | last, random) - log P(next | last, ordinary), add-one smoothed, from both models' pair counts."""
+    """log P(next | last, random) - log P(next | last, ordinary) from both models' pair counts.
+
+    Each model leans on the frequency of the next character alone with the weight of ``PRIOR`` observations.
+    """
     logs = []
     for part in counts.reshape(2, CLASSES, CLASSES):
-        seen = part + 1.0
-        logs.append(np.log(seen / seen.sum(axis=1, keepdims=True)))
+        alone = (part.sum(axis=0) + 1) / (part.sum() + CLASSES)
+        logs.append(np.log((part + PRIOR * alone) / (part.sum(axis=1, keepdims=True) + PRIOR)))
     return (logs[1] - logs[0]).ravel()
 
 
