@@ -72,6 +72,14 @@ def pair_codes(strings: list[str]) -> np.ndarray:
     return held[:-1] * CLASSES + held[1:]
 
 
+def _outside(text: str, spans: list[tuple[int, int]]) -> Iterator[str]:
+    at = 0
+    for start, stop in spans:
+        yield text[at:start]
+        at = max(at, stop)
+    yield text[at:]
+
+
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document its spans and candidates; per batch one more row with the counts of its samples."""
     span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32())]))
@@ -92,9 +100,9 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             candidates.append(own)
             if base:
                 counts[CLASSES**2 :] += np.bincount(pair_codes([text[v:e] for _, _, e, v in base]), minlength=CLASSES**2)
-                for s, _, e, _ in reversed(base):
-                    text = f"{text[:s]} {text[e:]}"
-            ordinary = ORDINARY.findall(text)
+            # What is a secret, or may be one, is no ordinary sample.
+            own = sorted([*((s, e) for s, _, e, _ in base), *((c["start"], c["start"] + len(c["value"])) for c in own)])
+            ordinary = ORDINARY.findall(" ".join(_outside(text, own)))
             if ordinary:
                 counts[: CLASSES**2] += np.bincount(pair_codes(ordinary), minlength=CLASSES**2)
         n = batch.num_rows

@@ -19,9 +19,10 @@ written.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,9 @@ ROW_GROUP, PAGE = 32 << 20, 256 << 10
 #: Characters that are tokenized at once, and words that a worker keeps.
 STEP, KEPT_WORDS = 1 << 20, 400_000
 
-_PLAIN = regex.compile(r"[\t\n\x0b\x0c\r\x20-\x7e\xa1-įı-ɏ]*")
+# Anything that the words' way below does not cover: beyond Latin letters, blanks other than the plain ones, and U+0130,
+# which becomes two characters in lower case.
+_OTHER = re.compile(r"[^\t\n\x0b\x0c\r\x20-\x7e\xa1-\u012f\u0131-\u024f]")
 # The tokenizer's own pattern of words, applied to lower-case text. Fixed values.
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -60,23 +63,29 @@ class Encoder:
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.letters = _letters()
-        self.known: dict[str, list[int]] = {}
-
-    def _word(self, part: str) -> list[int]:
-        if not part.isascii() or not part.isalpha():
-            written = "".join(map(self.letters.__getitem__, part.encode()))
-        else:
-            written = part
-        ids = [t.id for t in self.model.tokenize(written)]
-        if len(self.known) < KEPT_WORDS:
-            self.known[part] = ids
+        self.parts: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        """Ids of one word of the tokenizer's pattern."""
+        written = part if part.isascii() and part.isalpha() else "".join(map(self.letters.__getitem__, part.encode()))
+        ids = array("i", [t.id for t in self.model.tokenize(written)]).tobytes()
+        if len(self.parts) < KEPT_WORDS:
+            self.parts[part] = ids
         return ids
 
-    def ids(self, text: str) -> list[int]:
-        if "<|" in text or not _PLAIN.fullmatch(text):
-            return self.whole.encode(text, add_special_tokens=False).ids
-        known, word = self.known, self._word
-        return list(chain.from_iterable(known.get(p) or word(p) for p in _PARTS.findall(text.lower())))
+    def _run(self, run: str) -> bytes:
+        """Ids of a run without blanks."""
+        ids = b"".join([self.parts.get(p) or self._part(p) for p in _PARTS.findall(run)])
+        if len(self.runs) < KEPT_WORDS:
+            self.runs[run] = ids
+        return ids
+
+    def ids(self, text: str) -> np.ndarray:
+        if "<|" in text or _OTHER.search(text):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.int32)
+        known, run = self.runs, self._run
+        return np.frombuffer(b"".join([known.get(r) or run(r) for r in text.lower().split()]), dtype=np.int32)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -90,7 +99,7 @@ def encoder(path: str) -> Encoder:
 
 def _tokenizing(path: str, end_id: int):
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        encode, last = encoder(path), np.array([end_id], dtype=np.int32)
         for batch in batches:
             names, values, lengths, held = [], [], [], 0
 
@@ -102,11 +111,10 @@ def _tokenizing(path: str, end_id: int):
 
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
                 ids = encode.ids(text.as_py() or "")
-                ids.append(end_id)
                 names.append(doc_id.as_py())
-                values.append(np.array(ids, dtype=np.int32))
-                lengths.append(len(ids))
-                held += len(ids)
+                values += ids, last
+                lengths.append(ids.size + 1)
+                held += ids.size + 1
                 if held >= STEP:
                     yield part()
                     names, values, lengths, held = [], [], [], 0
