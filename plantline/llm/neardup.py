@@ -212,8 +212,11 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rounds: int = 3) -> DataFrame:
     """One row per row of ``docs``: row_key, doc_id, n_shingles, component_id and kept.
 
-    ``percent`` is the least share of common shingles, ``rounds`` how often step 3 is taken at most.
+    ``percent`` is the least share of common shingles, 80 or more, as bands and sketches are set for that; ``rounds`` is
+    how often step 3 is taken at most.
     """
+    if percent < 80:
+        raise ValueError("bands and sketches are set for similarities of 0.8 and more")
     signed = stored(
         docs.select("doc_id", "text", row_key().alias("row_key"))
         .mapInArrow(_signer(shingle), "doc_id bigint, row_key binary, n_shingles bigint, set_key binary, bands array<bigint>, sketch array<bigint>")
