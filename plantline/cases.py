@@ -237,6 +237,8 @@ def dq_contracts(star: StarSchema, as_of: date) -> DataFrame:
 
 # -- scores, lists and incidents; the rule score stands in for a model score ---------------------------
 
+# Limits that the queries ask for; the plans have none of their own.
+STOCK_ALERTS, ALL_ALERTS, FIRST_ACTIONS = 15, 30, 6
 NOW = datetime(2001, 5, 15)
 LATER_THAT_DAY = datetime(2001, 5, 15, 12, 0)
 
@@ -332,11 +334,11 @@ def eval_roc_auc(star: StarSchema, as_of: date) -> DataFrame:
 
 def alerts(star: StarSchema) -> DataFrame:
     """At most 30 rows; fixed in shared storage like the alert table of a deployment."""
-    return cut_lineage(incidents.seed_alerts(suppliers(star), materials(star), NOW))
+    return cut_lineage(incidents.seed_alerts(suppliers(star), materials(star), NOW, STOCK_ALERTS, ALL_ALERTS))
 
 
 def actions(star: StarSchema, from_alerts: DataFrame | None = None) -> DataFrame:
-    return incidents.seed_actions(alerts(star) if from_alerts is None else from_alerts, NOW)
+    return incidents.seed_actions(alerts(star) if from_alerts is None else from_alerts, NOW, FIRST_ACTIONS)
 
 
 def seeded_alerts(star: StarSchema, as_of: date) -> DataFrame:
@@ -350,7 +352,7 @@ def seeded_actions(star: StarSchema, as_of: date) -> DataFrame:
 def kpis(star: StarSchema, as_of: date) -> DataFrame:
     """Scores and alerts are read several times, so they are stored first."""
     scored, stocked = cut_lineage(suppliers(star)), cut_lineage(materials(star))
-    raised = cut_lineage(incidents.seed_alerts(scored, stocked, NOW))
+    raised = cut_lineage(incidents.seed_alerts(scored, stocked, NOW, STOCK_ALERTS, ALL_ALERTS))
     return serving.executive_kpis(star, scored, stocked, raised, actions(star, raised))
 
 
@@ -444,7 +446,7 @@ def alerts_updated(star: StarSchema, as_of: date) -> DataFrame:
 def actions_created(star: StarSchema, as_of: date) -> DataFrame:
     """One action for every alert beyond the first six; priority given only where it is HIGH."""
     raised = alerts(star)
-    requests = raised.where(_number("alert_id") > incidents.FIRST_ACTIONS).select(
+    requests = raised.where(_number("alert_id") > FIRST_ACTIONS).select(
         _number("alert_id").alias("request_id"),
         "alert_id",
         F.concat(F.lit("Mitigate: "), "title").alias("title"),
@@ -473,13 +475,13 @@ def actions_updated(star: StarSchema, as_of: date) -> DataFrame:
 def snapshot(star: StarSchema, as_of: date) -> DataFrame:
     """Export all lists as JSON and count what was written."""
     scored, stocked = cut_lineage(suppliers(star)), cut_lineage(materials(star))
-    raised = cut_lineage(incidents.seed_alerts(scored, stocked, NOW))
+    raised = cut_lineage(incidents.seed_alerts(scored, stocked, NOW, STOCK_ALERTS, ALL_ALERTS))
     opened = actions(star, raised)
     lists = {
         "kpis": serving.executive_kpis(star, scored, stocked, raised, opened),
         "suppliers": serving.list_suppliers(star, scored),
         "materials": serving.list_materials(star, stocked, limit=300),
-        "orders": serving.list_purchase_orders(star, as_of),
+        "orders": serving.list_purchase_orders(star, as_of, limit=150),
         "alerts": serving.list_alerts(raised),
         "actions": serving.list_actions(opened),
         "dq_results": serving.list_quality_results(quality.suite(star, as_of, "run-1", ENDED)),

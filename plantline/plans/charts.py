@@ -21,7 +21,6 @@ from plantline.plans.marts import (
 )
 
 BREACHES = ("STOCKOUT", "SAFETY_STOCK_BREACH")
-TOP = 20
 
 
 def _money_sum(column: str) -> Column:
@@ -61,10 +60,11 @@ def monthly_otd(t: Tables, as_of: date) -> DataFrame:
     ).orderBy("delivery_month")
 
 
-def high_risk_suppliers(t: Tables, as_of: date) -> DataFrame:
-    return supplier_figures(t).select(
+def high_risk_suppliers(t: Tables, as_of: date, limit: int | None = None) -> DataFrame:
+    rows = supplier_figures(t).select(
         "supplier_id", "supplier_name", "supplier_category", "otd_percentage", "overall_defect_ppm"
-    ).orderBy("otd_percentage", F.desc("overall_defect_ppm"), "supplier_id").limit(TOP)
+    ).orderBy("otd_percentage", F.desc("overall_defect_ppm"), "supplier_id")
+    return rows if limit is None else rows.limit(limit)
 
 
 def otd_vs_ppm(t: Tables, as_of: date) -> DataFrame:
@@ -161,13 +161,15 @@ def defect_pareto(t: Tables, as_of: date) -> DataFrame:
     return counts.withColumn("cumulative_pct", ratio(so_far, total, 2, per=100))
 
 
-def top_ppm_materials(t: Tables, as_of: date) -> DataFrame:
+def top_ppm_materials(t: Tables, as_of: date, limit: int | None = None) -> DataFrame:
     sums = t["fact_quality_inspections"].groupBy("material_id").agg(
         F.sum("defect_count").alias("defects"), F.sum("sample_size").alias("samples")
     )
     worst = sums.withColumn("defect_ppm", ratio(F.col("defects"), F.col("samples"), 0, per=1_000_000)).orderBy(
         F.desc("defect_ppm"), "material_id"
-    ).limit(TOP)
+    )
+    if limit is not None:
+        worst = worst.limit(limit)
     return worst.join(t["dim_material"].select("material_id", "sku"), "material_id")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantline.functions.exprs import round_half_even
@@ -13,10 +13,8 @@ from plantline.operators.ordered import running_totals
 from plantline.risk.narrative import stockout_text, supplier_text
 from plantline.risk.scoring import stockout_predictions, supplier_predictions
 
-# Caps of the shared alert counter, valuation factors, texts of the first actions.
-STOCKOUT_CAP, TOTAL_CAP = 15, 30
+# Valuation factors, texts of the first actions.
 STOCKOUT_VALUE, SUPPLIER_VALUE = 450.0, 320.0
-FIRST_ACTIONS = 6
 DUE_DAYS = 7
 ACTION_PREFIX = "CA-2026-"
 REQUESTS_PER_BLOCK = 4096
@@ -32,17 +30,24 @@ def _hours_before(now: datetime, hours: Column) -> Column:
     return F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), hours)
 
 
-def _numbered(first_rows: DataFrame, key: str) -> DataFrame:
-    """Number rows that a limit has already cut to a handful."""
-    return first_rows.withColumn("_n", F.row_number().over(Window.orderBy(key)))
+def _numbered(rows: DataFrame, key: str, most: int | None) -> DataFrame:
+    """Rows with their number in the order of ``key``, counted by blocks; the first ``most`` of them, or all."""
+    if most is not None:
+        rows = rows.orderBy(key).limit(most)
+    return running_totals(rows, [], F.floor(F.col(key) / REQUESTS_PER_BLOCK), [F.col(key)], {"_n": F.lit(1)})
 
 
-def seed_alerts(suppliers: DataFrame, materials: DataFrame, now: datetime) -> DataFrame:
-    """Alerts for critical materials, then for risky suppliers, on one counter: 15 at most, then up to 30."""
+def seed_alerts(
+    suppliers: DataFrame, materials: DataFrame, now: datetime, stock_cap: int | None = None, total_cap: int | None = None
+) -> DataFrame:
+    """Alerts for critical materials, then for risky suppliers, on one counter.
+
+    ``stock_cap`` limits the first kind, ``total_cap`` the counter; None stands for no limit.
+    """
     stock = stockout_predictions(materials).where(F.col("risk_tier") == "CRITICAL")
-    stock = _numbered(stock.orderBy("material_id").limit(STOCKOUT_CAP), "material_id")
+    stock = _numbered(stock, "material_id", stock_cap)
     risky = supplier_predictions(suppliers).where(F.col("risk_tier").isin("CRITICAL", "HIGH"))
-    risky = _numbered(risky.orderBy("supplier_id").limit(TOTAL_CAP), "supplier_id").withColumn(
+    risky = _numbered(risky, "supplier_id", total_cap).withColumn(
         "_n", F.col("_n") + stock.agg(F.count(F.lit(1))).scalar()
     )
 
@@ -65,7 +70,7 @@ def seed_alerts(suppliers: DataFrame, materials: DataFrame, now: datetime) -> Da
         "ALT-STK-", "STOCKOUT", F.lit("CRITICAL"), F.concat(F.lit("Critical Stockout Breach: SKU "), "sku"),
         stockout_text(), "MATERIAL", "material_id", F.col("days_of_inventory") * STOCKOUT_VALUE, 3,
     ))
-    from_suppliers = risky.where(F.col("_n") <= TOTAL_CAP).select(*row(
+    from_suppliers = (risky if total_cap is None else risky.where(F.col("_n") <= total_cap)).select(*row(
         "ALT-SUP-", "HIGH_RISK_SUPPLIER", F.col("risk_tier"),
         F.concat(F.lit("Vendor Performance Deterioration: "), "supplier_name"),
         supplier_text(), "SUPPLIER", "supplier_id", F.col("financial_risk_score") * SUPPLIER_VALUE, 2,
@@ -77,10 +82,12 @@ def _counter(alert_id: Column) -> Column:
     return F.split_part(alert_id, F.lit("-"), F.lit(-1)).cast("int")
 
 
-def seed_actions(alerts: DataFrame, now: datetime) -> DataFrame:
-    """Corrective actions for the first six alerts by counter; every other one already in progress."""
+def seed_actions(alerts: DataFrame, now: datetime, count: int | None = None) -> DataFrame:
+    """Corrective actions for the first ``count`` alerts by counter, or for all; every other one already in progress."""
     n = _counter(F.col("alert_id"))
-    first = alerts.withColumn("_n", n).orderBy("_n").limit(FIRST_ACTIONS)
+    first = alerts.withColumn("_n", n)
+    if count is not None:
+        first = first.orderBy("_n").limit(count)
     even = F.col("_n") % 2 == 0
     return first.select(
         F.concat(F.lit(ACTION_PREFIX), F.lpad(F.col("_n").cast("string"), 4, "0")).alias("action_id"),

@@ -135,8 +135,8 @@ register(
 )
 register("supplier_detail", cases.supplier_detail, supplier_id=7)
 register("search_suppliers", cases.list_suppliers, search="Nation_1", search_in=("name", "code", "country"))
-register("list_materials", cases.list_materials)
-register("list_purchase_orders", serving.list_purchase_orders)
+register("list_materials", cases.list_materials, limit=200)
+register("list_purchase_orders", serving.list_purchase_orders, limit=150)
 register(
     "search_orders", serving.list_purchase_orders, search="R#000000001", search_in=("po_number", "supplier_name"),
     limit=None,
@@ -154,4 +154,4 @@ register("apply_action_updates", cases.actions_updated)
 register("snapshot_export", cases.snapshot)
 
 for _name, _chart in charts.CHARTS.items():
-    register(_name, _chart)
+    register(_name, _chart, **({"limit": 20} if _name in ("chart_high_risk_suppliers", "chart_top_ppm_materials") else {}))
