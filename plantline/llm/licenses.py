@@ -71,12 +71,12 @@ def runs_of(tokens: list[str], size: int) -> list[tuple[str, ...]]:
 
 
 def covering_words(templates: dict[str, str], size: int) -> list[str]:
-    """Words of which every template shingle has at least one; taken greedily, longest first among equals."""
+    """Words of which every template shingle has at least one; taken greedily, the longest first, which are rarely the common ones."""
     open_runs = {run for text in templates.values() for run in runs_of(template_words(text), size)}
     chosen = []
     while open_runs:
         words_left = {w for run in open_runs for w in run}
-        best = max(words_left, key=lambda w: (len(w) > 3, sum(w in run for run in open_runs), len(w), w))
+        best = max(words_left, key=lambda w: (len(w), sum(w in run for run in open_runs), w))
         chosen.append(best)
         open_runs = {run for run in open_runs if best not in run}
     return sorted(chosen)
@@ -129,7 +129,9 @@ def scan(
 
     longest = 2 ** (max(by_power, default=0) + 1) + shingle
     covering = covering_words(templates, shingle)
-    any_word = "(?iu)" + "|".join(map(re.escape, covering)) if covering else "(?!)"
+    # Whole words only, as the shingles are of whole words.
+    one_of = "|".join(map(re.escape, covering))
+    any_word = rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{one_of})(?![\p{{L}}\p{{N}}])" if covering else "(?!)"
     likely = docs.where(F.col("text").rlike(any_word)).select("doc_id", row_key().alias("row_key"), "text")
     cut = stored(
         likely.select(
