@@ -9,9 +9,9 @@ partition takes so many hash functions, one to a band, that such a pair shares
 none with a probability below ``MISS``. What shares a band is verified: the
 template's exact shingles against those of every window of the document.
 
-Only documents that hold a word of a covering set can match: the set has at
-least one word of every template shingle, so a document without any of its words
-contains no shingle at all. That test reads the whole text and drops nothing.
+A window without any template shingle has no least value in common with a
+template, whatever the hash function, so it is signed only if it holds one. All
+words of all documents are hashed into shingles to find those windows.
 
 Defined results: words are lower-case runs of letters and digits; a template or
 document with fewer words than a shingle counts as one shingle of all its words;
@@ -66,22 +66,6 @@ def template_words(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower())
 
 
-def runs_of(tokens: list[str], size: int) -> list[tuple[str, ...]]:
-    return [tuple(tokens[i : i + size]) for i in range(max(1, len(tokens) - size + 1))] if tokens else []
-
-
-def covering_words(templates: dict[str, str], size: int) -> list[str]:
-    """Words of which every template shingle has at least one; taken greedily, the longest first, which are rarely the common ones."""
-    open_runs = {run for text in templates.values() for run in runs_of(template_words(text), size)}
-    chosen = []
-    while open_runs:
-        words_left = {w for run in open_runs for w in run}
-        best = max(words_left, key=lambda w: (len(w), sum(w in run for run in open_runs), w))
-        chosen.append(best)
-        open_runs = {run for run in open_runs if best not in run}
-    return sorted(chosen)
-
-
 def functions_needed(shingles: int, power: int, percent: int) -> int:
     """Hash functions for a template of ``shingles`` in windows of 2 ** (power + 1)."""
     held = shingles * percent / 100
@@ -89,26 +73,22 @@ def functions_needed(shingles: int, power: int, percent: int) -> int:
     return 1 if similarity >= 1 else math.ceil(math.log(MISS) / math.log(1 - similarity))
 
 
-def _permuted(hashes: Column, number: Column) -> Column:
-    """Hash function ``number`` of the family, from one 64-bit hash of a shingle."""
-    return F.transform(hashes, lambda h: F.xxhash64(h, number))
-
+def windows(hashes: Column, power: int, known: list[int]) -> Column:
+    """Windows of 2 ** (power + 1) shingles, beginning every 2 ** power, that hold one of ``known``; the last may be shorter."""
 
-def _windows(values: Column, power: int) -> Column:
-    """Start of each window in the row; the last one may be shorter."""
-    return F.sequence(F.lit(1), F.greatest(F.size(values) - 2**power, F.lit(1)), F.lit(2**power))
+    def cut(held: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(held) - 2**power, F.lit(1)), F.lit(2**power))
+        every = F.transform(starts, lambda at: F.slice(held, at, 2 ** (power + 1)))
+        return F.filter(every, lambda window: F.arrays_overlap(window, F.lit(known)))
 
+    return bound(hashes, cut)
 
-def bands(hashes: Column, power: int, functions: int) -> Column:
-    """Least value of every window under every hash function; an agreement in one is a band."""
 
-    def least(number: Column) -> Column:
-        return bound(
-            _permuted(hashes, number),
-            lambda h: F.transform(_windows(h, power), lambda at: F.array_min(F.slice(h, at, 2 ** (power + 1)))),
-        )
-
-    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(functions)), least)))
+def bands(hashes: Column, functions: int) -> Column:
+    """Least value of the shingles under each function of the family; an agreement in one is a band."""
+    return F.transform(
+        F.sequence(F.lit(1), F.lit(functions)), lambda i: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, i)))
+    )
 
 
 def scan(
@@ -117,66 +97,50 @@ def scan(
     """(row_key, doc_id, license, containment) for each template that a document holds."""
     spark = docs.sparkSession
     templates = TEMPLATES if templates is None else templates
-    known = [(name, template_words(text)) for name, text in sorted(templates.items()) if template_words(text)]
-    named = spark.createDataFrame(known, "license string, tokens array<string>").withColumn(
+    rows = [(name, template_words(text)) for name, text in sorted(templates.items()) if template_words(text)]
+    named = spark.createDataFrame(rows, "license string, tokens array<string>").withColumn(
         "shingles", F.array_distinct(shingle_hashes(F.col("tokens"), shingle))
     )
-    sizes = {name: len(set(runs_of(tokens, shingle))) for name, tokens in known}
+    shingles_of = {r.license: r.shingles for r in named.select("license", "shingles").collect()}
     by_power: dict[int, list[str]] = {}
-    for name, size in sizes.items():
-        by_power.setdefault(math.ceil(math.log2(size)), []).append(name)
-    counts = {p: max(functions_needed(sizes[n], p, percent) for n in names) for p, names in by_power.items()}
-
-    longest = 2 ** (max(by_power, default=0) + 1) + shingle
-    covering = covering_words(templates, shingle)
-    # Whole words only, as the shingles are of whole words.
-    one_of = "|".join(map(re.escape, covering))
-    any_word = rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{one_of})(?![\p{{L}}\p{{N}}])" if covering else "(?!)"
-    likely = docs.where(F.col("text").rlike(any_word)).select("doc_id", row_key().alias("row_key"), "text")
-    cut = stored(
-        likely.select(
-            "doc_id", "row_key", F.explode(pieces(words(F.col("text")), max(PIECE, 4 * longest), longest)).alias("tokens")
-        ).select("doc_id", "row_key", shingle_hashes(F.col("tokens"), shingle).alias("hashes")),
-        "license-pieces",
-    )
-
-    found = []
-    for power, names in sorted(by_power.items()):
-        functions = counts[power]
-        signed = named.where(F.col("license").isin(names)).select(
-            "license",
-            F.explode(
-                F.transform(F.sequence(F.lit(1), F.lit(functions)), lambda i: F.array_min(_permuted(F.col("shingles"), i)))
-            ).alias("band"),
-        )
-        keys = F.broadcast(signed)  # templates times functions
-        hits = (
-            cut.select("doc_id", "row_key", F.explode(bands(F.col("hashes"), power, functions)).alias("band"))
-            .join(keys, "band")
-            .select("doc_id", "row_key", "license")
-            .distinct()
-        )
-        found.append((power, hits))
-    if not found:
+    for name, held in shingles_of.items():
+        by_power.setdefault(math.ceil(math.log2(len(held))), []).append(name)
+    if not by_power:
         return docs.select(
             row_key().alias("row_key"), "doc_id", F.lit("").alias("license"), F.lit(0.0).alias("containment")
         ).limit(0)
 
+    longest = 2 ** (max(by_power) + 1) + shingle
+    known = sorted({h for held in shingles_of.values() for h in held})
+    cut = stored(
+        docs.select(
+            "doc_id", row_key().alias("row_key"),
+            F.explode(pieces(words(F.col("text")), max(PIECE, 4 * longest), longest)).alias("tokens"),
+        )
+        .select("doc_id", "row_key", shingle_hashes(F.col("tokens"), shingle).alias("hashes"))
+        .where(F.arrays_overlap("hashes", F.lit(known))),
+        "license-pieces",
+    )
+
     matches = None
-    for power, hits in found:
-        held = bound(
-            F.struct("hashes", "shingles"),
-            lambda s: F.array_max(
-                F.transform(
-                    _windows(s["hashes"], power),  # noqa: B023
-                    lambda at: F.size(F.array_intersect(F.slice(s["hashes"], at, 2 ** (power + 1)), s["shingles"])),  # noqa: B023
-                )
-            ),
+    for power, names in sorted(by_power.items()):
+        functions = max(functions_needed(len(shingles_of[n]), power, percent) for n in names)
+        own = sorted({h for n in names for h in shingles_of[n]})
+        # Templates times functions.
+        signed = F.broadcast(
+            named.where(F.col("license").isin(names)).select(
+                "license", "shingles", F.explode(bands(F.col("shingles"), functions)).alias("band")
+            )
         )
+        # Windows that share a band are verified at once, so only counts are shuffled.
         exact = (
-            hits.join(F.broadcast(named.select("license", "shingles")), "license")
-            .join(cut.select("row_key", "hashes"), "row_key")
-            .select("row_key", "doc_id", "license", F.size("shingles").alias("n"), held.alias("held"))
+            cut.select("doc_id", "row_key", F.explode(windows(F.col("hashes"), power, own)).alias("window"))
+            .select("doc_id", "row_key", "window", F.explode(F.array_distinct(bands(F.col("window"), functions))).alias("band"))
+            .join(signed, "band")
+            .select(
+                "row_key", "doc_id", "license", F.size("shingles").alias("n"),
+                F.size(F.array_intersect("window", "shingles")).alias("held"),
+            )
         )
         matches = exact if matches is None else matches.unionByName(exact)
     best = matches.groupBy("row_key", "doc_id", "license").agg(F.max("held").alias("held"), F.max("n").alias("n"))

@@ -92,12 +92,6 @@ def test_templates_of_all_sizes_at_all_places(spark, monkeypatch):
     assert {(r.doc_id, r.license) for r in found} == plain_licenses(docs, templates)
 
 
-def test_covering_words_cover_every_shingle():
-    chosen = set(licenses.covering_words(licenses.TEMPLATES, 5))
-    for text in licenses.TEMPLATES.values():
-        assert all(chosen & set(run) for run in licenses.runs_of(licenses.template_words(text), 5))
-
-
 def test_licenses_of_odd_rows(spark):
     docs = odd_documents(spark)
     templates = {"a": "five six seven", "b": "two three four five six", "c": ""}
