@@ -16,7 +16,7 @@ A pair at similarity 0.8 shares none of the 32 bands with a probability of
    members outside a bucket's largest component are compared with another
    member of that component; this takes work in proportion to the bucket.
 4. What is left is compared completely: members outside the largest component
-   with all members of other components.
+   with all members of other components, each pair once.
 
 A pair is confirmed on the texts only if its sketches, one bit of each signature
 value, differ in no more bits than such similarity allows.
@@ -210,7 +210,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rounds: int = 3) -> DataFrame:
-    """One row per row of ``docs``: row_key, doc_id, n_shingles, component_id and kept.
+    """One row per row of ``docs``: row_key, doc_id, n_shingles, comp (a number of the component), component_id and kept.
 
     ``percent`` is the least share of common shingles, 80 or more, as bands and sketches are set for that; ``rounds`` is
     how often step 3 is taken at most.
@@ -282,11 +282,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rounds
         if turn <= rounds:
             pairs = close(outside.select("node", F.col("pick").alias("center")).distinct())
         else:
-            others = named.join(several.select("bucket"), "bucket").select("bucket", F.col("node").alias("center"), F.col("comp").alias("other"))
+            # A pair is met once: in the least bucket that its documents share, seen from outside the largest component.
+            alive = stored(named.join(several.select("bucket", "main"), "bucket"), "near-alive")
+            lists = alive.groupBy("node").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))
+            held = alive.join(sketches.join(lists, "node"), "node")
+            others = held.select(
+                "bucket", F.col("node").alias("center"), F.col("comp").alias("other"),
+                F.col("sketch").alias("other_sketch"), F.col("buckets").alias("other_buckets"),
+            )
+            once = F.get(F.array_intersect("buckets", "other_buckets"), F.lit(0)) == F.col("bucket")
+            one_way = (F.col("other") == F.col("main")) | (F.col("node") > F.col("center"))
             pairs = (
-                outside.join(sketches, "node")
-                .join(others.join(theirs, "center"), "bucket")
-                .where((F.col("comp") != F.col("other")) & near)
+                held.where("comp <> main")
+                .join(others, "bucket")
+                .where((F.col("comp") != F.col("other")) & one_way & near & once)
                 .select("node", "center")
             )
         pairs = pairs.select(F.least("node", "center").alias("center"), F.greatest("node", "center").alias("node")).distinct()
@@ -303,16 +312,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rounds
     # The least doc_id of each component, then of each class, then of each row.
     of_class = classes.select("set_key", "n_shingles", "node", "doc_id").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     of_comp = of_class.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    named = stored(of_class.join(of_comp, "comp").select("set_key", "n_shingles", "component_id"), "near-named")
-    empty = signed.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    named = stored(of_class.join(of_comp, "comp").select("set_key", "n_shingles", "comp", "component_id"), "near-named")
+    empty = signed.where("n_shingles = 0").withColumns({"comp": F.col("row"), "component_id": F.col("doc_id")})
     linked = signed.where("n_shingles > 0").join(named, ["set_key", "n_shingles"])
-    columns = ["row_key", "doc_id", "n_shingles", "component_id"]
+    columns = ["row_key", "doc_id", "n_shingles", "comp", "component_id"]
     return linked.select(*columns).unionByName(empty.select(*columns)).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def without_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with one document of each component. Of rows equal in id and text one stays."""
-    kept = near_duplicates(docs, **settings).where("kept").select("row_key").distinct()
+    """``docs`` with one row of each component: of its least doc_id, and among rows of that id the least by checksum.
+
+    Rows without words are linked with nothing and stay; of rows equal in id and text one stays.
+    """
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    group = F.when(F.col("n_shingles") == 0, F.col("row_key")).otherwise(F.col("comp").cast("string").cast("binary"))
+    kept = (
+        near_duplicates(docs, **settings).groupBy(group.alias("comp_key")).agg(F.min(first).alias("least"))
+        .select(F.col("least.row_key").alias("row_key"))
+    )
     return (
         docs.withColumn("row_key", row_key()).join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select(*docs.columns)
     )

@@ -77,6 +77,34 @@ def test_odd_rows(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "3", "4", "5", "6", "8", "None", "None"])
 
 
+def test_one_row_of_each_group_stays_without_and_with_equal_ids(spark):
+    base = [f"b{i}" for i in range(100)]
+    near = [" ".join([*base[:k], "other", *base[k + 1 :]]) for k in (95, 97, 99)]
+    docs = spark.createDataFrame(
+        [(7, near[0]), (7, near[1]), (None, near[2]), (None, "a b c d e f"), (None, "A b c d e f"), (None, "A b c d e f")],
+        "doc_id bigint, text string",
+    )
+    kept = neardup.without_near_duplicates(docs).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["7", "None"]
+    assert next(r.text for r in kept if r.doc_id is None).lower() == "a b c d e f"
+
+
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_pairs_far_from_the_largest_component_are_compared(spark, rounds):
+    """Groups at 0.6 to each other share buckets; links within each of them must be found."""
+    draw = random.Random(9)
+    shared = [f"s{i}" for i in range(160)]
+    texts = []
+    for g in range(5):
+        core = [*shared, *[f"g{g}_{i}" for i in range(45)]]
+        for _ in range(3 + 4 * g):
+            own = list(core)
+            own[-1 - draw.randrange(40)] = f"x{draw.random()}"
+            texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert found(neardup.near_duplicates(docs, shingle=2, rounds=rounds).collect()) == expected(docs.collect(), 2)
+
+
 def test_empty_table(spark):
     assert neardup.near_duplicates(no_documents(spark)).collect() == []
     assert neardup.without_near_duplicates(no_documents(spark)).collect() == []
