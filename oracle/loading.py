@@ -1,6 +1,6 @@
 """Validation, merges, calendar, ledger and quality checks as DuckDB texts."""
 
-from plantline.plans import quality as declared
+from oracle import constraints as declared
 
 _DECLARED_LOW, _DECLARED_HIGH = "DATE '2000-01-01'", "DATE '2001-07-01'"
 _TIERS = "''TIER_1'', ''TIER_2'', ''TIER_3''"
@@ -357,7 +357,9 @@ _constraints += [
     for child, columns in declared.REFERENCES.items() for column, (parent, key) in columns.items()
 ]
 _constraints += [
-    _constraint(f"nn_{n}_{c}", n, "NOT_NULL", _bad(n, f"{c} IS NULL")) for n, cs in declared.NOT_NULL.items() for c in cs
+    _constraint(f"nn_{n}_{c}", n, "NOT_NULL", _bad(n, f"{c} IS NULL"))
+    for listed in ({**declared.PRIMARY_KEYS, "dim_date": ("date_key",)}, declared.NOT_NULL)
+    for n, cs in listed.items() for c in cs
 ]
 _constraints += [
     _constraint(f"ck_{n}_{c}", n, "CHECK", _bad(n, f"NOT ({e})")) for n, cs in declared.CHECKS.items()

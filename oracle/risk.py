@@ -1,6 +1,6 @@
 """Features, scores, narratives, evaluation, lists and incidents as DuckDB texts."""
 
-from plantline.risk.narrative import LABELS, SUPPLIER_ADVICE
+from oracle.texts import LABELS, SUPPLIER_ADVICE
 
 
 def py1(x: str) -> str:

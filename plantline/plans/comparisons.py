@@ -2,93 +2,55 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plantline.functions.exprs import ratio, real_ratio
 from plantline.operators.ordered import running_totals, trailing_sums
 from plantline.plans.marts import MONEY, Tables, production_at_risk
-from plantline.session import cut_lineage
 from plantline.sources.warehouse import LEDGER_RANGE, ledger_between
 
-Plan = Callable[[DataFrame], DataFrame]
-
 CELL = ["material_id", "warehouse_id"]
 LEDGER_ORDER = ["movement_date", "movement_id", "quantity"]
 BURN_ROWS = 31
-
-
-# A cell with more rows than one task should sort is cut into blocks.
-HOT_ROWS = 5_000_000
-
-
-def _by_cell_size(movements: DataFrame, hot_rows: int, plain: Plan, blocked: Plan) -> DataFrame:
-    """Run ``plain`` on the cells one task can sort and ``blocked`` on the others, if there are any.
-
-    The sizes are counted first (combined before the shuffle). Without a hot cell
-    the rows are shuffled once, by cell; hot cells are few, as each holds more
-    than ``hot_rows`` rows.
-    """
-    sizes = movements.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0]
-    if largest is None or largest <= hot_rows:
-        return plain(movements)
-    hot = cut_lineage(sizes.where(F.col("_n") > hot_rows).select(*CELL))
-    return plain(movements.join(hot, CELL, "left_anti")).unionByName(
-        blocked(movements.join(hot, CELL, "left_semi"))
-    )
+# What of a movement id names its block within a day: leading characters, or a span of numbers.
+ID_PREFIX, ID_SPAN = 6, 1 << 20
 
 
 def _ledger_rows(movements: DataFrame) -> DataFrame:
     return movements.select(*CELL, *LEDGER_ORDER)
 
 
-def _in_order(first: int):
-    return Window.partitionBy(*CELL).orderBy(*LEDGER_ORDER).rowsBetween(first, Window.currentRow)
-
-
-def _outflow() -> tuple[Column, Column]:
-    out = F.col("quantity") < 0
-    return F.when(out, -F.col("quantity")), F.when(out, 1)
-
-
-def _balance_plain(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("running_balance", F.sum("quantity").over(_in_order(Window.unboundedPreceding)))
+def _block(rows: DataFrame) -> Column:
+    """Day and leading part of the movement id: follows the order of the ledger and cuts busy days too."""
+    text = isinstance(rows.schema["movement_id"].dataType, T.StringType)
+    part = F.substring("movement_id", 1, ID_PREFIX) if text else F.floor(F.col("movement_id") / ID_SPAN)
+    return F.struct(F.col("movement_date").alias("day"), part.alias("part"))
 
 
-def _balance_blocked(rows: DataFrame, **more: Column) -> DataFrame:
-    """Cut by day. Days follow the order of the movements, which are ordered by id within a date."""
+def _balance(rows: DataFrame, **more: Column) -> DataFrame:
     return running_totals(
-        rows, CELL, F.col("movement_date"), [F.col(c) for c in LEDGER_ORDER],
-        {"running_balance": F.col("quantity"), **more},
+        rows, CELL, _block(rows), [F.col(c) for c in LEDGER_ORDER], {"running_balance": F.col("quantity"), **more}
     )
 
 
-def _burn_plain(rows: DataFrame) -> DataFrame:
-    amount, count = _outflow()
-    frame = _in_order(-(BURN_ROWS - 1))
-    return _balance_plain(rows).withColumns({"_out": F.sum(amount).over(frame), "_outs": F.sum(count).over(frame)})
-
-
-def _burn_blocked(rows: DataFrame) -> DataFrame:
-    amount, count = _outflow()
-    return trailing_sums(
-        _balance_blocked(rows, _position=F.lit(1)), CELL, "_position", BURN_ROWS, {"_out": amount, "_outs": count}
-    ).drop("_position")
-
-
-def running_balance(movements: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def running_balance(movements: DataFrame) -> DataFrame:
     """Balance since the first row given, per material and warehouse."""
-    return _by_cell_size(_ledger_rows(movements), hot_rows, _balance_plain, _balance_blocked)
+    return _balance(_ledger_rows(movements))
 
 
-def balance_and_burn(movements: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def balance_and_burn(movements: DataFrame) -> DataFrame:
     """Running balance plus the mean outflow over the last 31 rows (rows, not days)."""
-    sums = _by_cell_size(_ledger_rows(movements), hot_rows, _burn_plain, _burn_blocked)
-    return sums.withColumn("rolling_30d_burn_rate", real_ratio(F.col("_out"), F.col("_outs"))).drop("_out", "_outs")
+    out = F.col("quantity") < 0
+    outflow = {"_out": F.when(out, -F.col("quantity")), "_outs": F.when(out, 1)}
+    numbered = _balance(_ledger_rows(movements), _position=F.lit(1))
+    sums = trailing_sums(numbered, CELL, "_position", BURN_ROWS, outflow)
+    return sums.withColumn("rolling_30d_burn_rate", real_ratio(F.col("_out"), F.col("_outs"))).drop(
+        "_position", "_out", "_outs"
+    )
 
 
 def all_running_balances(t: Tables, as_of: date | None = None) -> DataFrame:

@@ -185,7 +185,9 @@ def load_movements(
     audit = audit_start(spark, run_id, LEDGER_RUN, batch_id, at)
     try:
         batch = csv_files.read_entity(spark, path, "inventory_movements")
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         missing = [(run_id, at, "FAILED", 0, 0, 0, "File not found")]
         return audit_finish(audit, spark.createDataFrame(missing, schema.RUN_RESULT))
     ledger = warehouse[LEDGER]

@@ -294,20 +294,27 @@ OPERATIONAL_REFERENCES = {
     "data_quality_test_results": {"run_id": ("etl_pipeline_audit", "run_id")},
 }
 NOT_NULL = {
+    "dim_defect_type": ("name", "severity", "category"),
     "dim_factory": ("name",),
     "dim_warehouse": ("factory_id", "name", "warehouse_type"),
-    "dim_supplier": ("code", "name", "category", "country", "tier", "reliability_rating", "financial_health_score"),
-    "dim_material": ("sku", "name", "category", "standard_cost", "safety_stock_level", "reorder_point",
-                     "lead_time_days"),
+    "dim_supplier": ("code", "name", "category", "country", "city", "tier", "reliability_rating",
+                     "financial_health_score", "baseline_lead_time_days"),
+    "dim_material": ("sku", "name", "category", "unit_of_measure", "standard_cost", "current_unit_price",
+                     "safety_stock_level", "reorder_point", "target_stock_level", "min_order_qty", "lead_time_days"),
+    "dim_date": ("year", "quarter", "month", "month_name", "week", "day", "day_name", "is_weekend"),
     "fact_purchase_orders": ("po_number", "supplier_id", "factory_id", "warehouse_id", "order_date",
                              "promised_delivery_date", "status", "total_amount"),
     "fact_purchase_order_lines": ("po_id", "line_number", "material_id", "quantity_ordered", "line_total"),
     "fact_goods_receipts": ("po_id", "po_line_id", "supplier_id", "material_id", "warehouse_id", "factory_id",
-                            "receipt_date", "delivery_variance_days"),
-    "fact_quality_inspections": ("receipt_id", "material_id", "supplier_id", "inspection_date", "disposition"),
+                            "receipt_date", "quantity_delivered", "quantity_accepted", "quantity_rejected",
+                            "delivery_variance_days"),
+    "fact_quality_inspections": ("receipt_id", "material_id", "supplier_id", "inspection_date", "sample_size",
+                                 "defect_count", "defect_ppm", "disposition"),
     "fact_inventory_movements": ("material_id", "warehouse_id", "factory_id", "movement_type", "quantity"),
-    "fact_production_schedules": ("product_sku", "factory_id", "start_date", "end_date", "status", "priority"),
-    "fact_bom_allocations": ("work_order_id", "material_id", "allocated_quantity", "shortage_quantity"),
+    "fact_production_schedules": ("product_sku", "factory_id", "planned_quantity", "start_date", "end_date", "status",
+                                  "priority"),
+    "fact_bom_allocations": ("work_order_id", "material_id", "required_quantity", "allocated_quantity",
+                             "shortage_quantity"),
 }
 CHECKS = {
     "fact_purchase_order_lines": {"quantity_ordered": "quantity_ordered > 0"},
@@ -337,9 +344,13 @@ def declared_constraints(t: Tables, calendar: DataFrame) -> DataFrame:
         for column, (parent, key) in columns.items()
         if parent in tables
     ]
+    # A key column must not be null either: null keys do not clash, so the key checks pass over them.
+    required = {c.table: c.columns for c in keys if c.kind == "PRIMARY_KEY"}
+    required |= {n: c for n, c in OPERATIONAL_KEYS.items() if n in tables}
     rules = []
-    for name in sorted({*NOT_NULL, *CHECKS}):
-        found = {f"nn_{name}_{c}": ("NOT_NULL", F.col(c).isNull()) for c in NOT_NULL.get(name, ())}
+    for name in sorted({*required, *NOT_NULL, *CHECKS}):
+        columns = (*required.get(name, ()), *NOT_NULL.get(name, ()))
+        found = {f"nn_{name}_{c}": ("NOT_NULL", F.col(c).isNull()) for c in columns}
         found |= {f"ck_{name}_{c}": ("CHECK", ~F.expr(e)) for c, e in CHECKS.get(name, {}).items()}
         rules.append(row_rules(tables[name], name, found))
     return with_status(union_all([duplicate_keys(tables, keys), broken_references(tables, foreign), *rules]))

@@ -34,7 +34,9 @@ def read_text_batch(spark: SparkSession, path: str, seq: str) -> DataFrame | Non
     """
     try:
         lines = spark.read.options(header=True).csv(path)
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     if seq in lines.columns:
         return lines.withColumn(seq, F.col(seq).cast("bigint"))

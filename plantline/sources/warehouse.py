@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator, Mapping
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 LEDGER = "fact_inventory_movements"
@@ -122,27 +123,47 @@ class Warehouse(Mapping[str, DataFrame]):
         return stored
 
 
+VERSION = "published_at bigint, path string, business string"
+
+
+def _versions(root: str, name: str) -> str:
+    return f"{root}/_versions/{name}"
+
+
 def publish(df: DataFrame, root: str, name: str, version: str) -> None:
-    """Add a version of a table, or replace it when a job is run again. Readers see it once its files are committed."""
-    (
-        df.withColumn("version", F.lit(version))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("version")
-        .parquet(f"{root}/{name}")
-    )
+    """Add a version of a table; ``version`` is its business time, kept for information.
+
+    Readers see it once its row in the version log is written, after all its
+    files. The version published last is the current one, whatever its business
+    time, so that a later backfill or rerun is seen.
+    """
+    spark, now = df.sparkSession, time.time_ns()
+    latest = _latest(spark, root, name)
+    number = now if latest is None else max(now, latest.published_at + 1)
+    path = f"{root}/{name}/{number:020d}"
+    df.write.parquet(path)
+    spark.createDataFrame([(number, path, version)], VERSION).coalesce(1).write.mode("append").parquet(_versions(root, name))
+
+
+def _latest(spark: SparkSession, root: str, name: str) -> Row | None:
+    """Last row of the version log; nothing if the table has never been published."""
+    try:
+        log = spark.read.schema(VERSION).parquet(_versions(root, name))
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return log.agg(F.max_by(F.struct("*"), "published_at").alias("last")).first().last
 
 
 def current(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The latest version of a mart; older versions are pruned by the partition filter."""
-    stored = spark.read.option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
-    latest = stored.agg(F.max("version")).scalar()
-    return stored.where(F.col("version") == latest).drop("version")
+    """The version published last; files of other versions are not opened."""
+    latest = _latest(spark, root, name)
+    if latest is None:
+        raise LookupError(f"{name} has not been published below {root}")
+    return spark.read.parquet(latest.path)
 
 
 def current_or(spark: SparkSession, root: str, name: str, otherwise: DataFrame) -> DataFrame:
-    """The latest version of a table, or ``otherwise`` when none has been published yet."""
-    try:
-        return current(spark, root, name)
-    except AnalysisException:
-        return otherwise
+    """The current version of a table, or ``otherwise`` when none has been published yet. Other errors are raised."""
+    return otherwise if _latest(spark, root, name) is None else current(spark, root, name)

@@ -74,18 +74,39 @@ def test_grid_pairs_everything(spark):
     assert pair_with_all(left, "a", right).count() == 350
 
 
-@pytest.mark.parametrize("hot_rows", [0, 150, 10_000])
-def test_balance_is_the_same_plain_blocked_and_mixed(spark, hot_rows):
-    """With a limit of 150 only the busy cell is cut into blocks."""
+def test_grid_never_broadcasts_the_repeated_side(spark):
+    left, right = spark.range(50).withColumnRenamed("id", "a"), spark.range(300_000).withColumnRenamed("id", "b")
+    plan = pair_with_all(left, "a", right, copies=200)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_balance_plans_run_no_job(spark):
+    moves = spark.createDataFrame(
+        [(1, 0, date(2001, 1, 1), "m1", 5)],
+        "material_id int, warehouse_id int, movement_date date, movement_id string, quantity int",
+    )
+    spark.sparkContext.setJobGroup("balance-plan", "balance-plan")
+    try:
+        comparisons.balance_and_burn(moves)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("balance-plan")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("numeric", [False, True])
+def test_balance_and_burn_agree_with_a_loop(spark, numeric, monkeypatch):
+    """One cell holds two thirds of the rows; ids cut each day into several blocks."""
+    monkeypatch.setattr(comparisons, "ID_PREFIX", 2)
+    monkeypatch.setattr(comparisons, "ID_SPAN", 64)
     rng = random.Random(11)
     data = [
-        (1 if i % 3 else 2 + i % 4, 0, date(2001, 1, 1) + timedelta(days=rng.randint(0, 40)), f"m{i}", rng.randint(-9, 9))
+        (1 if i % 3 else 2 + i % 4, 0, date(2001, 1, 1) + timedelta(days=rng.randint(0, 40)), i if numeric else f"m{i}", rng.randint(-9, 9))
         for i in range(400)
     ]
     moves = spark.createDataFrame(
-        data, "material_id int, warehouse_id int, movement_date date, movement_id string, quantity int"
+        data, "material_id int, warehouse_id int, movement_date date, movement_id " + ("bigint" if numeric else "string") + ", quantity int"
     )
-    got = {r.movement_id: r for r in comparisons.balance_and_burn(moves, hot_rows).collect()}
+    got = {r.movement_id: r for r in comparisons.balance_and_burn(moves).collect()}
     seen: dict[int, list[int]] = {}
     for material, _, day, name, quantity in sorted(data, key=lambda r: (r[0], r[2], r[3])):
         past = seen.setdefault(material, [])
@@ -93,5 +114,5 @@ def test_balance_is_the_same_plain_blocked_and_mixed(spark, hot_rows):
         outs = [-q for q in past[-31:] if q < 0]
         assert got[name].running_balance == sum(past)
         assert got[name].rolling_30d_burn_rate == (sum(outs) / len(outs) if outs else None)
-    balances = {r.movement_id: r.running_balance for r in comparisons.running_balance(moves, hot_rows).collect()}
+    balances = {r.movement_id: r.running_balance for r in comparisons.running_balance(moves).collect()}
     assert balances == {name: r.running_balance for name, r in got.items()}

@@ -1,9 +1,12 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from plantline.operators.calendar import calendar_of
 from plantline.operators.checks import KeyCheck, Reference, broken_references, duplicate_keys
 from plantline.plans import analytics, marts, quality
+from plantline.sources.star import StarSchema
 
 DAY = date(2001, 5, 15)
 
@@ -130,3 +133,14 @@ def test_inventory_counts_every_outflow(spark):
     assert (got[1].current_stock, got[1].consumption_last_30d, got[1].days_of_inventory) == (400, 30, 400.0)
     assert got[1].stock_health_status == "OVERSTOCK" and float(got[1].current_stock_valuation) == 1000.0
     assert (got[2].stock_health_status, got[2].days_of_inventory, got[2].quantity_on_order) == ("STOCKOUT", 999.0, 4)
+
+
+def test_null_keys_are_violations(spark):
+    star = StarSchema(spark, "/root/testdata/sf0.001")
+    tables = {name: star[name] for name in star}
+    key = F.when(F.col("factory_id") > 0, F.col("factory_id"))
+    tables["dim_factory"] = tables["dim_factory"].withColumn("factory_id", key)
+    days = calendar_of(star["fact_purchase_orders"], "order_date")
+    found = {r.constraint_name: r for r in quality.declared_constraints(tables, days).collect()}
+    assert (found["nn_dim_factory_factory_id"].violations, found["nn_dim_factory_factory_id"].status) == (1, "FAIL")
+    assert found["uq_dim_factory_factory_id"].violations == 0

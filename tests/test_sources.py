@@ -14,6 +14,7 @@ from plantline.sources.warehouse import (
     QUARTER,
     Warehouse,
     current,
+    current_or,
     ledger_between,
     publish,
     quarters_between,
@@ -62,6 +63,29 @@ def test_readers_see_the_latest_version_only(spark, tmp_path):
     publish(spark.range(5), root, "m", "2001-05-15")
     mart = current(spark, root, "m")
     assert mart.count() == 5 and mart.columns == ["id"]
+    assert len({f.rsplit("/", 2)[-2] for f in mart.inputFiles()}) == 1
+
+
+def test_an_older_business_date_published_later_is_seen(spark, tmp_path):
+    root = str(tmp_path)
+    publish(spark.range(5), root, "m", "2001-05-15")
+    publish(spark.range(3), root, "m", "2001-05-14")
+    assert current(spark, root, "m").count() == 3
+
+
+def test_only_a_table_never_published_is_replaced(spark, tmp_path):
+    root, other = str(tmp_path), spark.range(1)
+    assert current_or(spark, root, "m", other).count() == 1
+    with pytest.raises(LookupError):
+        current(spark, root, "m")
+    publish(spark.range(5), root, "m", "2001-05-15")
+    # A version without its row in the log, as an aborted write leaves it, is not read.
+    spark.range(9).write.parquet(f"{root}/m/{2**63 - 1:020d}")
+    assert current_or(spark, root, "m", other).count() == 5
+    (tmp_path / "_versions" / "n").mkdir()
+    (tmp_path / "_versions" / "n" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        current_or(spark, root, "n", other)
 
 
 def test_load_movements_appends_once_and_reports_rows_offered(spark, tmp_path):
