@@ -141,7 +141,9 @@ PARTS = {
                   THEN year(movement_date) || '_q' || quarter(movement_date) ELSE 'default' END AS movement_quarter
         FROM fact_inventory_movements""",
     "dim_date": """
-        SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY))::DATE AS date_key""",
+        SELECT d AS date_key, year(d) AS year, quarter(d) AS quarter, month(d) AS month, monthname(d) AS month_name,
+               week(d) AS week, day(d) AS day, dayname(d) AS day_name, isodow(d) >= 6 AS is_weekend
+        FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY))::DATE AS d)""",
 }
 
 
