@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Mapping
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,7 @@ STOCKOUT_UPDATES = ("stockout_risk_score", "risk_tier", "explanation_text")
 INGEST_RUN = "INGESTION"
 LEDGER_RUN = "MOVEMENTS_LOAD"
 INGEST_ENTITIES = ("suppliers", "materials", "purchase_orders")
+AUDIT_LOG = "etl_pipeline_audit"
 ALERT_KEYS = ["alert_id"]
 
 
@@ -124,14 +126,49 @@ def run_ingest(
     The classified batch is checkpointed, as the accepted rows, the dead letters
     and the counts all read it. A missing file is skipped with a warning. Each
     run publishes a new version of the tables it merges and starts from the
-    latest one, so a failed run leaves the tables as they were.
+    latest one, so a failed run leaves the tables as they were. The run is logged
+    as RUNNING before any work, and as SUCCESS or FAILED with its real duration.
     """
+    audit = audit_start(spark, run_id, INGEST_RUN, batch_id, as_of)
+    log_run(audit, output)
+    began = time.monotonic()
+
+    def ended() -> datetime:
+        return as_of + timedelta(seconds=time.monotonic() - began)
+
+    try:
+        counts = merge_entities(spark, inbound, warehouse, output, batch_id, as_of, seq)
+        closed = cut_lineage(audit_finish(audit, ingest_result(spark, counts, run_id, ended())))
+    except Exception as problem:
+        result = [(run_id, ended(), "FAILED", 0, 0, 0, str(problem))]
+        log_run(audit_finish(audit, spark.createDataFrame(result, schema.RUN_RESULT)), output)
+        raise
+    log_run(closed, output)
+    return closed
+
+
+def log_run(rows: DataFrame, output: str) -> None:
+    """Append states of runs to the stored audit trail."""
+    typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in rows.sparkSession.createDataFrame([], schema.AUDIT).schema])
+    typed.coalesce(1).write.mode("append").parquet(f"{output}/{AUDIT_LOG}")
+
+
+def stored_runs(spark: SparkSession, output: str) -> DataFrame:
+    """The last state of each run: a closed row counts before the RUNNING row that it closes."""
+    states = spark.read.schema(schema.AUDIT).parquet(f"{output}/{AUDIT_LOG}")
+    state = F.struct(F.col("start_time"), F.col("end_time").isNotNull(), F.col("end_time"))
+    return states.groupBy("run_id").agg(F.max_by(F.struct(*states.columns), state).alias("r")).select("r.*")
+
+
+def merge_entities(
+    spark: SparkSession, inbound: str, warehouse: Warehouse, output: str, batch_id: str, as_of: datetime, seq: str
+) -> DataFrame | None:
+    """Classify and merge each entity file that is there; returns the counts, or nothing without any file."""
     upserts = {
         "suppliers": ("dim_supplier", upsert_suppliers),
         "materials": ("dim_material", upsert_materials),
         "purchase_orders": ("fact_purchase_orders", upsert_purchase_orders),
     }
-    audit = audit_start(spark, run_id, INGEST_RUN, batch_id, as_of)
     counts = None
     for entity in INGEST_ENTITIES:
         raw = csv_files.read_text_batch(spark, f"{inbound}/{entity}.csv", seq)
@@ -148,7 +185,7 @@ def run_ingest(
         publish(merged, output, table, version_of(as_of))
         one = validation.batch_counts(entity, classified)
         counts = one if counts is None else counts.unionByName(one)
-    return audit_finish(audit, ingest_result(spark, counts, run_id, as_of))
+    return counts
 
 
 def version_of(at: datetime) -> str:

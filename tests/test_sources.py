@@ -143,11 +143,19 @@ def test_ingest_job(spark, tmp_path):
     out = str(tmp_path / "out")
     audit = loading.run_ingest(spark, str(inbound), stored, out, "run-1", "B", AT).first()
     assert (audit.status, audit.rows_extracted, audit.rows_loaded, audit.rows_rejected) == ("SUCCESS", 5, 3, 2)
+    assert audit.duration_seconds > 0
+    del stored._opened["dim_supplier"]
+    stored.names.remove("dim_supplier")
+    with pytest.raises(KeyError):
+        loading.run_ingest(spark, str(inbound), stored, out, "run-2", "B", AT)
+    runs = {r.run_id: r for r in loading.stored_runs(spark, out).collect()}
+    assert (runs["run-1"].status, runs["run-1"].rows_loaded) == ("SUCCESS", 3)
+    assert (runs["run-2"].status, runs["run-2"].error_message) == ("FAILED", "'dim_supplier'")
     suppliers = {r.supplier_id: r for r in current(spark, out, "dim_supplier").collect()}
     assert (suppliers["1"].name, suppliers["1"].code, suppliers["900"].is_active) == ("New name", "VND-1", True)
     order = current(spark, out, "fact_purchase_orders").where("po_id = '77'").first()
     assert (order.status, float(order.total_amount)) == ("DELIVERED", 12.5)
-    codes = sorted(r.error_code for r in spark.read.parquet(out + "/rejected").collect())
+    codes = sorted({r.error_code for r in spark.read.parquet(out + "/rejected").collect()})
     assert codes == ["ERR_DUPLICATE_KEY", "ERR_SCHEMA_VALIDATION"]
 
 
