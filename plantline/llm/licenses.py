@@ -13,8 +13,11 @@ A window without any template shingle has no least value in common with a
 template, whatever the hash function, so it is signed only if it holds one. All
 words of all documents are hashed into shingles to find those windows.
 
+Notices of a few words have a shingle length of their own, their word count, so
+that they are found inside a document by the same windows, bands and exact check.
+
 Defined results: words are lower-case runs of letters and digits; a template or
-document with fewer words than a shingle counts as one shingle of all its words;
+document with fewer words than its shingle counts as one shingle of all its words;
 null or wordless texts match nothing; equal rows are reported once; a document
 is reported once for each template it holds, with the best window; rows without
 an id are found like others; an empty table or no templates give no rows.
@@ -60,6 +63,8 @@ TEMPLATES = {
     "ISC-notice": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
     "All-rights-reserved": "All rights reserved. No part of this publication may be reproduced",
 }
+# Notices shorter than a shingle; each is looked up with shingles of its own word count.
+SHORT = {"All-rights-reserved-line": "All rights reserved"}
 
 
 def template_words(text: str) -> list[str]:
@@ -92,40 +97,65 @@ def bands(hashes: Column, functions: int) -> Column:
 
 
 def scan(
-    docs: DataFrame, templates: dict[str, str] | None = None, shingle: int = 5, percent: int = 80
+    docs: DataFrame,
+    templates: dict[str, str] | None = None,
+    shingle: int = 5,
+    percent: int = 80,
+    short: dict[str, str] | None = None,
 ) -> DataFrame:
-    """(row_key, doc_id, license, containment) for each template that a document holds."""
+    """(row_key, doc_id, license, containment) for each template that a document holds.
+
+    ``short`` are templates whose shingle is at most their word count; by default ``SHORT``, or none beside given templates.
+    """
     spark = docs.sparkSession
+    short = (SHORT if templates is None else {}) if short is None else short
     templates = TEMPLATES if templates is None else templates
-    rows = [(name, template_words(text)) for name, text in sorted(templates.items()) if template_words(text)]
-    named = spark.createDataFrame(rows, "license string, tokens array<string>").withColumn(
-        "shingles", F.array_distinct(shingle_hashes(F.col("tokens"), shingle))
+    if both := sorted(templates.keys() & short.keys()):
+        raise ValueError(f"templates and short notices share names: {both}")
+    rows = [(name, template_words(text), shingle) for name, text in sorted(templates.items())]
+    rows += [(name, held := template_words(text), min(shingle, len(held))) for name, text in sorted(short.items())]
+    rows = [row for row in rows if row[1]]
+    sizes = sorted({size for *_, size in rows})
+    hashed = lambda size: shingle_hashes(F.col("tokens"), size)
+    named = spark.createDataFrame(rows, "license string, tokens array<string>, size int").withColumn(
+        "shingles", F.array_distinct(F.coalesce(F.lit(None).cast("array<bigint>"), *[F.when(F.col("size") == n, hashed(n)) for n in sizes]))
     )
-    shingles_of = {r.license: r.shingles for r in named.select("license", "shingles").collect()}
-    by_power: dict[int, list[str]] = {}
-    for name, held in shingles_of.items():
-        by_power.setdefault(math.ceil(math.log2(len(held))), []).append(name)
-    if not by_power:
+    # Shingle length and size of a partition.
+    shingles_of: dict[int, dict[str, list[int]]] = {}
+    for r in named.select("license", "size", "shingles").collect():
+        shingles_of.setdefault(r["size"], {})[r.license] = r.shingles
+    parts: dict[tuple[int, int], list[str]] = {}
+    for size, held_by in shingles_of.items():
+        for name, held in held_by.items():
+            parts.setdefault((size, math.ceil(math.log2(len(held)))), []).append(name)
+    if not parts:
         return docs.select(
             row_key().alias("row_key"), "doc_id", F.lit("").alias("license"), F.lit(0.0).alias("containment")
         ).limit(0)
 
-    longest = 2 ** (max(by_power) + 1) + shingle
-    known = sorted({h for held in shingles_of.values() for h in held})
+    longest = 2 ** (max(power for _, power in parts) + 1) + max(sizes)
+    known = {size: sorted({h for held in held_by.values() for h in held}) for size, held_by in shingles_of.items()}
+    # One read of the documents gives the shingles of every length; those of a length without a known one are dropped.
+    def held_of(size: int) -> Column:
+        wanted = lambda h: F.when(F.arrays_overlap(h, F.lit(known[size])), F.struct(F.lit(size).alias("size"), h.alias("hashes")))
+        return bound(hashed(size), wanted)
+
     cut = stored(
         docs.select(
             "doc_id", row_key().alias("row_key"),
             F.explode(pieces(words(F.col("text")), max(PIECE, 4 * longest), longest)).alias("tokens"),
         )
-        .select("doc_id", "row_key", shingle_hashes(F.col("tokens"), shingle).alias("hashes"))
-        .where(F.arrays_overlap("hashes", F.lit(known))),
+        .select("doc_id", "row_key", F.explode(F.array(*map(held_of, sizes))).alias("held"))
+        .where("held is not null")
+        .select("doc_id", "row_key", "held.size", "held.hashes"),
         "license-pieces",
     )
 
     matches = None
-    for power, names in sorted(by_power.items()):
-        functions = max(functions_needed(len(shingles_of[n]), power, percent) for n in names)
-        own = sorted({h for n in names for h in shingles_of[n]})
+    for (size, power), names in sorted(parts.items()):
+        own_of = {n: shingles_of[size][n] for n in names}
+        functions = max(functions_needed(len(held), power, percent) for held in own_of.values())
+        own = sorted({h for held in own_of.values() for h in held})
         # Templates times functions.
         signed = F.broadcast(
             named.where(F.col("license").isin(names)).select(
@@ -134,7 +164,8 @@ def scan(
         )
         # Windows that share a band are verified at once, so only counts are shuffled.
         exact = (
-            cut.select("doc_id", "row_key", F.explode(windows(F.col("hashes"), power, own)).alias("window"))
+            cut.where(F.col("size") == size)
+            .select("doc_id", "row_key", F.explode(windows(F.col("hashes"), power, own)).alias("window"))
             .select("doc_id", "row_key", "window", F.explode(F.array_distinct(bands(F.col("window"), functions))).alias("band"))
             .join(signed, "band")
             .select(

@@ -98,3 +98,27 @@ def test_licenses_of_odd_rows(spark):
     assert {(r.doc_id, r.license) for r in licenses.scan(docs, templates).collect()} == {(1, "b"), (2, "b"), (7, "b")}
     assert licenses.scan(no_documents(spark)).collect() == []
     assert licenses.scan(docs, {}).collect() == []
+
+
+def test_every_licence_line_of_the_tables_is_found(spark):
+    lines = {
+        "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+        "All-rights-reserved-line": "All rights reserved.", "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+        "MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+    }
+    docs = rows_of(spark, "documents", "doc_id")
+    found = {(r.doc_id, r.license) for r in op8_licenses(spark, FOLDER).collect()}
+    for name, line in lines.items():
+        held = {(d, name) for d, text in docs if line in (text or "").split("\n")}
+        assert held and held <= found, name
+
+
+def test_short_notices_are_found_inside_documents(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "PIECE", 50)
+    filler = [f"w{i}" for i in range(300)]
+    docs = [(i, " ".join([*filler[:i], "All rights", "RESERVED.", *filler[i:]])) for i in range(0, 300, 7)]
+    docs += [(1001, "all rights are reserved " * 9), (1002, "all rights"), (1003, "All rights reserved")]
+    short = {"three": "All rights reserved.", "one": "Reserved", "none": "..."}
+    found = licenses.scan(spark.createDataFrame(docs, "doc_id bigint, text string"), {"long": " ".join(filler[:40])}, short=short).collect()
+    held = {(d, "three") for d in [*range(0, 300, 7), 1003]} | {(d, "one") for d in [*range(0, 300, 7), 1001, 1003]}
+    assert {(r.doc_id, r.license) for r in found if r.license != "long"} == held and all(r.containment == 1 for r in found if r.license != "long")
