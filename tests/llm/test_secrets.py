@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from plantline.llm import secrets
 from plantline.llm.queries import op4_secrets
@@ -80,3 +81,36 @@ def test_odd_rows_and_empty_table(spark):
     rows = found.collect()
     assert len(rows) == docs.count() and all(r.spans == "" for r in rows)
     assert secrets.find_secrets(no_documents(spark)).collect() == []
+
+
+KINDS_OF_KEYS = {
+    "base62 of 16": (secrets.ALPHABET[:62], 16), "base62 of 20": (secrets.ALPHABET[:62], 20), "letters": (secrets.ALPHABET[:52], 20),
+    "base64": (secrets.ALPHABET[:62] + "+/", 40), "upper case": (secrets.ALPHABET[:26] + "0123456789", 20), "hex of 20": ("0123456789abcdef", 20),
+}
+
+
+@pytest.mark.parametrize("copies", [1, 20])
+def test_keys_of_all_kinds_are_found_at_two_sizes_of_corpus(spark, copies):
+    folder = "/root/testdata/sf0.001"
+    draw = random.Random(9)
+    key = lambda alphabet, n: "".join(draw.choice(alphabet) for _ in range(n))
+    planted = {(kind, i): key(*of) for kind, of in KINDS_OF_KEYS.items() for i in range(50)}
+    lines = [f"see {k} and /usr/local/configuration/{k}/documentation here" for k in planted.values()]
+    plain = ["/usr/local/configuration/documentation and some_longer_identifier, state-of-the-art-documentation here"] * 50
+    docs = [r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()] * copies + plain
+    rows = list(enumerate(lines + docs))
+    found = [r.spans for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string")).orderBy("doc_id").collect()]
+    for kind in KINDS_OF_KEYS:
+        both = 0
+        for (k, _), line, spans in zip(planted, lines, found, strict=False):
+            value = line.split()[1]
+            inside = [tuple(map(int, s.split(":")[1:])) for s in spans.split(",") if s.startswith("random")]
+            whole = {line.find(value), line.rfind(value)}
+            both += k == kind and all(any(a <= at + 5 and at + len(value) - 5 <= b for a, b in inside) for at in whole)
+        assert both >= 45, (kind, both)
+    assert not any("random" in s for s in found[-len(plain) :])
+
+
+def test_a_sample_counts_once():
+    text = "token=" + "0123456789abcdef" * 2
+    assert secrets.samples_by_kind(text, secrets.base_spans(text)) == {2: ["0123456789abcdef" * 2]}
