@@ -1,15 +1,20 @@
 """Main text of web pages by composite text density.
 
 A page is parsed into a tree of block elements; inline elements count as tags of
-their block. Parts that are never the article (scripts, styles, menus, forms,
-headers and footers of the page, and elements whose class, id or role says
-advert, notice, sidebar or comments) are left out. For every node the density is
+their block. Parts that are never the article (scripts, styles, menus, headers
+and footers of the page, hidden elements, and side roles) are left out. Forms, and
+elements whose class or id says advert, notice, sidebar or comments, are left out
+too unless they hold an article, a main part, a headline, or a large share of the
+page's text outside links; words on the layout around (with-sidebar, menu-open)
+say nothing. For every node the density is
 its characters per tag, adjusted for the share of characters and tags in links;
 the sum of the densities of its children is largest for the node that holds the
 article's paragraphs. The least density on the path from that node to the body
 is the threshold: subtrees beside the path that reach it belong to the text too.
-If the node lies in an ``article`` or ``main`` element, that element is the
-border of the text, and everything inside belongs to it.
+If the node lies in an ``article`` element, everything inside belongs to the text,
+and so do further articles, headlines of the ``main`` element around it, and
+subtrees beside it that reach the threshold; ``main`` is the border. If it lies in
+a ``main`` element only, everything inside belongs to the text.
 
 Defined results: a null page is an empty one; a page without text gives an empty
 string; broken markup never fails, open elements end with the page; character
@@ -34,7 +39,7 @@ RESULT = ("text", "n_chars")
 DROPPED = frozenset(
     "script style noscript template head title nav aside footer form button select textarea input iframe svg canvas"
     " object embed audio video menu dialog".split()
-)
+)  # a form only on evidence
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "html body div section article main header p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th"
@@ -51,20 +56,26 @@ CLOSES = {
 SIDE = re.compile(
     r"(?:^|[-_\s])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|popup|modal|newsletter|subscribe"
     r"|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|footer|comments?|respond|disqus|share|sharing|social|related|pagination|pager"
-    r"|toolbar|widget|skip-?link|masthead|site-header|page-header)(?:$|[-_\s])",
+    r"|toolbar|skip-?link|masthead|site-header|page-header)(?:$|[-_\s])",
     re.IGNORECASE,
 )
-SIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
+#: Of these, such as hold articles of their own beside that of the page.
+OWN_ARTICLES = re.compile(r"(?:^|[-_\s])(?:ads?|advert\w*|sponsor\w*|promo\w*|side-?bar|comments?|respond|disqus|related)(?:$|[-_\s])", re.IGNORECASE)
+#: Names that tell what stands beside or above an element.
+LAYOUT = re.compile(r"(?:^|.*[-_])(?:with|without|no|has)[-_].*|.*[-_](?:open|opened|closed|collapsed|expanded|visible)", re.IGNORECASE)
+#: Percentage of the page's text outside links from which an element is no side part for its name; for OWN_ARTICLES.
+LARGE, LARGE_OWN = 50, 75
+SIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([A-Za-z][^\s/>]*)[^>]*(?:>|\Z)|<([A-Za-z][^\s/>]*)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""\s*/?\s*([^\s=>/"'][^\s=>/]*)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>]*))?""")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "chars", "link_chars", "tags", "link_tags", "density", "side")
+    __slots__ = ("tag", "parent", "parts", "chars", "link_chars", "tags", "link_tags", "density", "side", "hint")
 
-    def __init__(self, tag: str, parent: Node | None, side: bool = False):
-        self.tag, self.parent, self.side = tag, parent, side
+    def __init__(self, tag: str, parent: Node | None, side: bool = False, hint: str = ""):
+        self.tag, self.parent, self.side, self.hint = tag, parent, side, hint
         self.parts: list[Node | str] = []
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = 0.0
@@ -100,15 +111,55 @@ def _tokens(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
 
 
 def _is_side(tag: str, attributes: dict[str, str], stack: list[tuple[str, Node]]) -> bool:
-    if tag in DROPPED or "hidden" in attributes or attributes.get("aria-hidden") == "true":
+    if (tag in DROPPED and tag != "form") or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
-    inside = any(t in ("article", "main") for t, _ in stack)
-    if tag == "header" and not inside:
+    if tag == "header" and not any(t in ("article", "main") for t, _ in stack):
         return True
+    return tag not in ("html", "body", "article", "main") and attributes.get("role", "").lower() in SIDE_ROLES
+
+
+def _hint(tag: str, attributes: dict[str, str]) -> str:
+    """What speaks for a side part: "own" if it may hold articles of its own, else "side", or nothing."""
     if tag in ("html", "body", "article", "main"):
-        return False
-    named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return attributes.get("role", "").lower() in SIDE_ROLES or bool(SIDE.search(named))
+        return ""
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    named = " ".join(n for n in names if not LAYOUT.fullmatch(n))
+    if OWN_ARTICLES.search(named):
+        return "own"
+    return "side" if tag == "form" or attributes.get("role", "").lower() == "form" or SIDE.search(named) else ""
+
+
+def leave_out(root: Node) -> None:
+    """Marks the hinted elements as side parts that hold nothing of an article."""
+    order, waiting = [], [(root, 0, False)]
+    while waiting:
+        node, above, owned = waiting.pop()
+        owned = owned or node.hint == "own"
+        order.append((node, above, owned))
+        inner = above + (node.tag in ("article", "main"))
+        waiting += [(p, inner, owned) for p in node.parts if isinstance(p, Node) and not p.side]
+    if not any(node.hint for node, _, _ in order):
+        return
+    marks = sum(node.tag in ("article", "main") for node, _, _ in order)
+    free = any(node.tag in ("article", "h1") and not owned for node, _, owned in order)
+    held: dict[int, list[int]] = {}  # text outside links, articles and mains, mains, headlines and articles
+    for node, _, _ in reversed(order):
+        own = held.setdefault(id(node), [0, 0, 0, 0])
+        own[0] += sum(len("".join(p.split())) for p in node.parts if isinstance(p, str)) - node.link_chars
+        own[1] += node.tag in ("article", "main")
+        own[2] += node.tag == "main"
+        own[3] += node.tag in ("article", "h1")
+        if node.parent is not None:
+            up = held.setdefault(id(node.parent), [0, 0, 0, 0])
+            for k in range(4):
+                up[k] += own[k]
+    whole = held[id(root)][0]
+    for node, above, _ in order:
+        if node.hint:
+            text, marked, mains, heads = held[id(node)]
+            least = LARGE_OWN if node.hint == "own" else LARGE
+            large = text * 100 >= whole * least and text > 0 and marks == marked + above
+            node.side = not (mains or large or (heads and (node.hint != "own" or not free)))
 
 
 def parse(html: str) -> Node:
@@ -155,17 +206,19 @@ def parse(html: str) -> Node:
                             break
             node = stack[-1][1]
             side = _is_side(name, attributes, stack)
+            hint = "" if side else _hint(name, attributes)
             if name in VOID:
                 node.tags += 1
                 node.parts.append(Node("hr", node) if name == "hr" else " " if name == "br" else "")
-            elif name in BLOCKS or side:
-                block = Node(name, node, side)
+            elif name in BLOCKS or side or hint:
+                block = Node(name, node, side, hint)
                 node.parts.append(block)
                 stack.append((name, block))
             else:
                 node.tags += 1
                 node.link_tags += name == "a"
                 stack.append((name, node))
+    leave_out(root)
     return root
 
 
@@ -208,11 +261,15 @@ def content(root: Node) -> list[Node]:
     total = lambda n: sum(p.density for p in n.parts if isinstance(p, Node) and not p.side)
     best = max(nodes, key=lambda n: (max(total(n), n.density if n.tags == 0 else 0.0), -n.tags))
     path = _inside(best)
-    for kind in ("article", "main"):
-        for node in path:
-            if node.tag == kind:
-                return [node]
-    if best.tag == "p" and best.parent is not None and best.parent.parent is not None:
+    article = next((n for n in path if n.tag == "article"), None)
+    around = next((n for n in path if n.tag == "main"), None)
+    if article is not None:
+        path = path[path.index(article) :]
+        if around in path:
+            path = path[: path.index(around) + 1]
+    elif around is not None:
+        return [around]
+    elif best.tag == "p" and best.parent is not None and best.parent.parent is not None:
         path = path[1:]
     threshold = min((n.density for n in path), default=0.0)
     on_path, chosen = set(map(id, path)), []
@@ -220,9 +277,14 @@ def content(root: Node) -> list[Node]:
     waiting = [path[-1]]
     while waiting:
         node = waiting.pop()
-        if node is path[0] or (id(node) not in on_path and node.density >= threshold):
+        if id(node) not in on_path:
+            marked = article is not None and (node.tag == "article" or (node.tag == "h1" and around in path))
+            take = node.density >= threshold or (marked and node.chars > 0)
+        else:
+            take = node is path[0]
+        if take:
             chosen.append(node)
-        elif id(node) in on_path:
+        elif id(node) in on_path or article is not None:
             waiting += [p for p in reversed(node.parts) if isinstance(p, Node) and not p.side]
     return chosen
 

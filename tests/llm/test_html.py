@@ -71,3 +71,33 @@ def test_query_keeps_articles_whole(spark):
         title = html[r.page_id].split("<h1>")[1].split("</h1>")[0]
         assert r.text.split("\n")[0].split() == main_text(f"<p>{title}</p>").split() and r.n_chars == len(r.text)
         assert "track(" not in r.text and "©" not in r.text
+
+
+LAYOUTS = ["content with-sidebar", "no-sidebar", "layout has-sidebar", "elementor-widget elementor-widget-text-editor", "page menu-open", "social-post"]
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div>{}</div>", "<main>{}</main>"])
+def test_names_of_layouts_do_not_drop_the_article(name, wrap):
+    article = f"<h1>Title</h1><p>{PROSE * 3}</p><p>{PROSE}</p>"
+    expected = f"Title\n{(PROSE * 3).strip()}\n{PROSE.strip()}"
+    ad = '<div class="ad">Buy one of these now</div>'
+    for page in (f"<div class='{name}'>{wrap.format(article)}</div>{ad}", wrap.format(f"<div class='{name}'>{article}</div>") + ad):
+        assert main_text(f"<html><body>{page}</body></html>") == expected
+    text_only = f"<body><h2>Other</h2><div id='{name}'><p>{PROSE * 3}</p><p>{PROSE}</p></div></body>"
+    assert (PROSE * 3).strip() in main_text(text_only)
+
+
+def test_form_around_the_page_is_no_side_part():
+    page = f"<form id=aspnetForm>{{}}<nav><a href=x>Home</a></nav><div><p>{PROSE * 3}</p><p>{PROSE}</p></div>{{}}</form>"
+    search = "<form><label>Search</label><button>Go</button></form>"
+    assert main_text(f"<body>{page.format('', '')}{search}</body>") == f"{(PROSE * 3).strip()}\n{PROSE.strip()}"
+
+
+def test_further_articles_and_the_headline_of_main():
+    one, two = f"<article><p>{PROSE * 4}</p></article>", f"<article><p>{PROSE}</p><p>{PROSE}</p></article>"
+    texts = f"{(PROSE * 4).strip()}\n{PROSE.strip()}\n{PROSE.strip()}"
+    assert main_text(f"<body><main><h1>Head</h1>{one}<div>{two}</div></main><div>not this</div></body>") == "Head\n" + texts
+    assert main_text(f"<body>{one}{two}</body>") == texts
+    comments = f"<section id=comments><article><p>{PROSE}</p></article></section>"
+    assert main_text(f"<body>{one}{comments}</body>") == (PROSE * 4).strip()
