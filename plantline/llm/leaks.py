@@ -13,8 +13,8 @@ A document's shingles are cut in pieces of bounded length, whole texts are read,
 and only those that stand in a signature are kept.
 
 Defined results: words are lower-case runs of letters and digits; an item with
-fewer words than a shingle counts as one shingle of all its words and is found
-only in documents that consist of just these; null or wordless items and
+fewer words than a shingle is one shingle of all its words, looked up among the
+documents' runs of as many words; null or wordless items and
 documents take no part; items of equal shingle sets are each reported; equal
 rows are reported once; rows without an id are found like others; an empty
 table gives no rows.
@@ -50,17 +50,20 @@ def _signature(size: Column, percent: int) -> tuple[Column, Column]:
     )
 
 
-def _runs(tokens: Column, size: int) -> Column:
+def _runs(tokens: Column, size: Column) -> Column:
     """The shingles themselves, as text."""
     starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - size + 1, F.lit(1)))
     return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, size), " "))
 
 
 def item_signatures(items: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Per distinct shingle set its signature rows (hash, set_id, needed), and its items (set_id, item_id, tokens, shingles)."""
-    hashed = items.select("item_id", words(F.col("text")).alias("tokens")).withColumn(
-        "shingles", F.array_sort(F.array_distinct(shingle_hashes(F.col("tokens"), shingle)))
-    )
+    """Per distinct shingle set its signature rows (hash, set_id, needed), and its items (set_id, item_id, tokens, size, shingles).
+
+    ``size`` is the item's shingle length: ``shingle``, or all its words if they are fewer.
+    """
+    named = items.select("item_id", words(F.col("text")).alias("tokens")).withColumn("size", F.least(F.size("tokens"), F.lit(shingle)))
+    own = F.coalesce(*[F.when(F.col("size") == n, shingle_hashes(F.col("tokens"), n)) for n in range(1, shingle + 1)])
+    hashed = named.withColumn("shingles", F.array_sort(F.array_distinct(own)))
     sets = stored(
         hashed.where(F.size("shingles") > 0).distinct().withColumn("set_id", F.unhex(F.md5(F.to_json("shingles").cast("binary")))), "leak-items"
     )
@@ -76,7 +79,9 @@ def leaks(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int = 80
     """(row_key, doc_id, item_id, containment) for each item of which a document holds ``percent`` of the shingles."""
     signatures, sets = item_signatures(items, shingle, percent)
     cut = docs.select(row_key().alias("row_key"), F.explode(pieces(words(F.col("text")), PIECE, shingle - 1)).alias("tokens"))
-    seen = cut.select("row_key", F.explode(F.array_distinct(shingle_hashes(F.col("tokens"), shingle))).alias("hash"))
+    sizes = sorted(r["size"] for r in sets.select("size").distinct().collect()) or [shingle]  # at most ``shingle`` of them
+    runs = F.concat(*[shingle_hashes(F.col("tokens"), n) for n in sizes])
+    seen = cut.select("row_key", F.explode(F.array_distinct(runs)).alias("hash"))
     hits = seen.join(signatures, "hash").groupBy("row_key", "set_id", "needed").agg(F.count_distinct("hash").alias("hits"))
     candidates = stored(hits.where("hits >= needed").select("row_key", "set_id"), "leak-candidates")
     wanted = candidates.select("row_key").distinct()
@@ -88,13 +93,13 @@ def leaks(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int = 80
         .select("doc_id", "row_key", F.explode(pieces(words(F.col("text")), PIECE, shingle - 1)).alias("tokens")),
         "leak-texts",
     )
-    wanted_runs = sets.select("set_id", F.array_distinct(_runs(F.col("tokens"), shingle)).alias("runs")).dropDuplicates(["set_id"])
+    wanted_runs = sets.select("set_id", F.col("size").alias("length"), F.array_distinct(_runs(F.col("tokens"), F.col("size"))).alias("runs")).dropDuplicates(["set_id"])
     found = (
         candidates.join(wanted_runs, "set_id")
         .join(held, "row_key")
         .select(
             "row_key", "doc_id", "set_id", F.size("runs").alias("n"),
-            F.explode(F.array_intersect("runs", F.array_distinct(_runs(F.col("tokens"), shingle)))).alias("run"),
+            F.explode(F.array_intersect("runs", F.array_distinct(_runs(F.col("tokens"), F.col("length"))))).alias("run"),
         )
         .groupBy("row_key", "doc_id", "set_id", "n")
         .agg(F.count_distinct("run").alias("held"))

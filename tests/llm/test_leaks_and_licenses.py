@@ -122,3 +122,16 @@ def test_short_notices_are_found_inside_documents(spark, monkeypatch):
     found = licenses.scan(spark.createDataFrame(docs, "doc_id bigint, text string"), {"long": " ".join(filler[:40])}, short=short).collect()
     held = {(d, "three") for d in [*range(0, 300, 7), 1003]} | {(d, "one") for d in [*range(0, 300, 7), 1001, 1003]}
     assert {(r.doc_id, r.license) for r in found if r.license != "long"} == held and all(r.containment == 1 for r in found if r.license != "long")
+
+
+def test_short_items_are_found_inside_documents(spark, monkeypatch):
+    monkeypatch.setattr(leaks, "PIECE", 64)
+    filler = [f"w{i}" for i in range(200)]
+    docs = [(i, " ".join([*filler[:i], "Name the", "capital!", *filler[i:]])) for i in range(0, 200, 9)] + [(999, "capital the name " * 50)]
+    items = [(1, "name the capital"), (2, "name of the capital"), (3, "capital"), (4, " ".join(filler[20:60]))]
+    found = leaks.leaks(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    )
+    pairs = {(r.doc_id, r.item_id) for r in found.collect()}
+    inside = {i for i, _ in docs if i < 999}
+    assert {p for p in pairs if p[1] < 4} == {(i, 1) for i in inside} | {(i, 3) for i in inside | {999}}
