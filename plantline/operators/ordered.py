@@ -11,6 +11,8 @@ a bounded number of values (days, score hundredths, grid cells).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,7 +42,10 @@ def running_totals(
     )
     inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = blocked.withColumns({f"_r_{n}": F.sum(f"_m_{n}").over(inside) for n in names})
-    return local.join(starts, group).select(
+    # Null keys form a group, as in a window.
+    starts = starts.withColumnsRenamed({c: f"_k_{c}" for c in group})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in group])
+    return local.join(starts, same).select(
         *df.columns,
         *[(F.col(f"_s_{n}") + F.coalesce(F.col(f"_r_{n}"), F.lit(0))).alias(n) for n in names],
     )

@@ -116,3 +116,12 @@ def test_balance_and_burn_agree_with_a_loop(spark, numeric, monkeypatch):
         assert got[name].rolling_30d_burn_rate == (sum(outs) / len(outs) if outs else None)
     balances = {r.movement_id: r.running_balance for r in comparisons.running_balance(moves).collect()}
     assert balances == {name: r.running_balance for name, r in got.items()}
+
+
+def test_rows_with_null_keys_keep_their_running_balance(spark):
+    rows = [(m, w, date(2024, 1, d), f"M{d}", 10 * d) for m in (1, None) for w in (2, None) for d in (1, 2, 3)]
+    schema = "material_id bigint, warehouse_id bigint, movement_date date, movement_id string, quantity int"
+    found = comparisons.balance_and_burn(spark.createDataFrame(rows, schema)).collect()
+    expected = {(m, w, d, b) for m in (1, None) for w in (2, None) for d, b in ((1, 10), (2, 30), (3, 60))}
+    assert len(found) == len(rows)
+    assert {(r.material_id, r.warehouse_id, r.movement_date.day, r.running_balance) for r in found} == expected
