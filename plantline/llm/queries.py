@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantline.llm import alignment, html, leaks, licenses, mixing, neardup, prefix_trie, quality, secrets, sharding, token_files, topk
+from plantline.llm import alignment, html, leaks, licenses, mixing, neardup, prefix_trie, quality, secrets, sharding, token_files, topk, toxicity
 from plantline.llm.oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,11 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(table(spark, folder, "pages", "page_id", "url", "html"))
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return toxicity.score_toxicity(docs, table(spark, folder, "labels", "doc_id", "toxic"))
+
+
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     tree = prefix_trie.prefix_tree(table(spark, folder, "conversations", "conv_id", "turn", "role", "text"))
     return tree.select(
@@ -84,6 +89,6 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_sharding, op2_mixing, op3_token_files, op4_secrets, op5_quality, op6_near_duplicates, op7_leaks, op8_licenses,
-        op9_top_k, op10_main_text, op12_prefix_trie, op13_alignment,
+        op9_top_k, op10_main_text, op11_toxicity, op12_prefix_trie, op13_alignment,
     )
 }
