@@ -75,6 +75,7 @@ _SIGN_RUN = re.compile(r"[!?]{2,}|[*#@$%&]{3,}")
 _REPLACED = re.compile(r"(?<!\S)(?=\S*[^\W\d_])(?=\S*[0-9@$!*|+])[^\W_](?:[^\W_]|[@$!*|+]){2,24}(?!\S)")
 _SPACED = re.compile(r"(?<!\w)(?:[^\W\d_][ .\-*_]){3,24}[^\W\d_](?!\w)")
 _DRAWN = re.compile(r"([^\W\d_])\1{2,}")
+_MASKS = [ord(c) for c in "!$*+@|"]
 _READ_AS = str.maketrans("0134578@$!|+", "oieastbasiit")
 
 
@@ -112,13 +113,13 @@ class Lexicon:
         return list(self.automaton.iter(text))
 
 
-def _read(text: str) -> str:
-    """Obfuscated words as they would be read."""
-    found = [m.translate(_READ_AS) for m in _REPLACED.findall(text)]
-    found += [_APART.sub("", m) for m in _SPACED.findall(text)]
-    drawn = [w for w in text.split() if _DRAWN.search(w)] if _DRAWN.search(text) else []
-    found += [_DRAWN.sub(r"\1", w) for w in drawn] + [_DRAWN.sub(r"\1\1", w) for w in drawn]
-    return " ".join(found)
+def _read(replaced: list[str], spaced: list[str], drawn: list[str]) -> str:
+    """Obfuscated words as they would be read; a spaced-out word may have taken a lone letter beside it along."""
+    found = [w.translate(_READ_AS) for w in replaced]
+    for w in spaced:
+        whole = _APART.sub("", w)
+        found += whole, whole[1:], whole[:-1]
+    return " ".join(found + [_DRAWN.sub(r"\1", w) for w in drawn] + [_DRAWN.sub(r"\1\1", w) for w in drawn])
 
 
 def features(text: str, lexicon: Lexicon) -> list[float]:
@@ -154,12 +155,12 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         signs += int(raw[33:48].sum() + raw[58:65].sum() + raw[91:97].sum() + raw[123:127].sum())
         capital_words += len(_CAPITAL_WORD.findall(part))
         signs_run += len(_SIGN_RUN.findall(part))
-        replaced += len(_REPLACED.findall(part)) if raw[48:58].any() or raw[[33, 36, 42, 43, 64, 124]].any() else 0
-        spaced += len(_SPACED.findall(part))
-        drawn += len(_DRAWN.findall(part))
-        read = _read(part)
-        if read:
-            found = [w for _, (seed, _, w) in lexicon.hits(marked(read)) if seed or w]
+        masked = _REPLACED.findall(part) if raw[48:58].any() or raw[_MASKS].any() else []
+        apart, long = _SPACED.findall(part), _DRAWN.findall(part)
+        replaced, spaced, drawn = replaced + len(masked), spaced + len(apart), drawn + len(long)
+        if masked or apart or long:
+            stretched = [w for w in part.split() if _DRAWN.search(w)] if long else []
+            found = [w for _, (seed, _, w) in lexicon.hits(marked(_read(masked, apart, stretched))) if seed or w]
             hidden += len(found)
             weights += found
     near = 0
@@ -197,7 +198,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     draw = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30))
     limit = int((1 << 30) * min(1.0, sample / max(1, marks.count())))
     drawn = marks.where(draw < limit)
-    rows = docs.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(drawn, "doc_id")
+    # At most about ``sample`` ids and marks, so they go to the documents.
+    rows = docs.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")
     return stored(
         rows.groupBy(F.md5(F.col("text").cast("binary")).alias("t"), (F.col("fold") == 1).alias("calibrates"))
         .agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")).select("text", "toxic", "calibrates"),
