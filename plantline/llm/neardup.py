@@ -14,12 +14,18 @@ A pair at similarity 0.8 shares none of the 32 bands with a probability of
    confirmed links are joined into components.
 3. Only buckets that still hold several components go on. A few times, the
    members outside a bucket's largest component are compared with another
-   member of that component; this takes work in proportion to the bucket.
+   member of that component; this takes work in proportion to the bucket. Taken
+   is the member that was confirmed with the most centres so far: copies differ
+   from each other by the changes of both, so those of few changes link nearly
+   all of a group, where one taken at random leaves many out.
 4. What is left is compared completely: members outside the largest component
    with all members of other components, each pair once.
 
-A pair is confirmed on the texts only if its sketches, one bit of each signature
-value, differ in no more bits than such similarity allows.
+A pair leaves a join, and is confirmed on the texts, only if its sketches allow
+such similarity. One sketch has one bit of each signature value. The other has
+the parity of the shingles that fall on each of its bits: two of these differ in
+no more bits than the sets differ in shingles, so they rule out for certain, and
+of the pairs just below the limit hardly any is left.
 
 Defined results: words are runs without blanks, A-Z lower-cased; a document with
 fewer words than a shingle has its whole sequence as the only shingle; one
@@ -35,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantline.llm.common import row_key, stored
@@ -45,6 +51,8 @@ FUNCTIONS = BANDS * ROWS // 2
 #: Longs that hold one bit of each value. Two texts at similarity 0.8 differ in a tenth of the bits, in 16 +- 3.8;
 #: a pair that differs in more than ``FAR`` bits is that similar with a probability of 1e-7.
 SKETCH, FAR = -(-BANDS * ROWS // 64), 38
+#: Longs of parities.
+ODD = 16
 #: Hashes per step; bounds the memory that a long document takes.
 STEP = 1 << 20
 
@@ -111,8 +119,14 @@ def shingle_set(text: bytes, size: int) -> np.ndarray:
     return np.unique(value)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """How many shingles fall on each of 64 * ODD bits, modulo 2."""
+    on = (mixed(shingles ^ _MIX[0]) % np.uint64(64 * ODD)).astype(np.int64)
+    return np.frombuffer(np.packbits(np.bincount(on, minlength=64 * ODD) & 1).tobytes(), dtype=np.int64)
+
+
 def band_keys(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The keys of the bands, half of them over least, half over greatest values, and one bit of each value."""
+    """The keys of the bands, half of them over least, half over greatest values, and both sketches."""
     low = np.full(FUNCTIONS, np.iinfo(np.uint64).max, dtype=np.uint64)
     high = np.zeros(FUNCTIONS, dtype=np.uint64)
     step = max(1, STEP // FUNCTIONS)
@@ -127,7 +141,7 @@ def band_keys(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     keys = _BAND_SALTS.copy()
     for k in range(ROWS):
         keys = mixed(keys * np.uint64(_BASE) + rows[:, k])
-    return keys.view(np.int64), sketch
+    return keys.view(np.int64), np.concatenate([sketch, parities(shingles)])
 
 
 def _signer(size: int):
@@ -243,9 +257,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rounds
         "near-texts",
     )
 
-    sketches = stored(members.select("node").distinct().join(classes.select("node", "sketch"), "node"), "near-sketches")
-    theirs = sketches.select(F.col("node").alias("center"), F.col("sketch").alias("other_sketch"))
-    near = sum(F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("other_sketch", F.lit(i)))) for i in range(SKETCH)) <= FAR
+    sketches = stored(members.select("node").distinct().join(classes.select("node", "sketch", F.col("n_shingles").alias("n")), "node"), "near-sketches")
+    theirs = sketches.select(F.col("node").alias("center"), F.col("sketch").alias("other_sketch"), F.col("n").alias("other_n"))
+
+    def apart(start: int, stop: int) -> Column:
+        """Bits in which the longs ``start`` to ``stop`` of two sketches differ."""
+        return sum(F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("other_sketch", F.lit(i)))) for i in range(start, stop))
+
+    # Sets of similarity s differ in (1 - s) / (1 + s) of the sum of their sizes.
+    allowed = (100 - percent) * (F.col("n") + F.col("other_n"))
+    near = (apart(0, SKETCH) <= FAR) & ((100 + percent) * apart(SKETCH, SKETCH + ODD) <= allowed)
 
     def close(pairs: DataFrame) -> DataFrame:
         """The pairs that may be as similar as asked, by their sketches."""
@@ -262,14 +283,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rounds
     tried = stored(close(members.where("node <> center").select("node", "center").distinct()), "near-pairs")
     links = confirmed(tried)
     labels = components(links)
+    taken = members.select(F.col("center").alias("node")).distinct()
     for turn in range(1, rounds + 2):
+        # With how many centres a member was confirmed; those that were centres themselves come last.
+        score = (
+            links.select(F.col("a").alias("node"), F.lit(1).alias("score"))
+            .unionByName(taken.select("node", F.lit(-(1 << 40)).alias("score")))
+            .groupBy("node").agg(F.sum("score").alias("score"))
+        )
         # Buckets of several components, with the size of each component in them.
         named = stored(
-            members.select("bucket", "node").join(labels, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp")),
+            members.select("bucket", "node").join(labels.join(score, "node", "left"), "node", "left")
+            .select("bucket", "node", F.coalesce("comp", "node").alias("comp"), F.coalesce("score", F.lit(0)).alias("score")),
             "near-named",
         )
         sizes = named.groupBy("bucket", "comp").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("pick")
+            F.count(F.lit(1)).alias("n"), F.max(F.struct("score", F.xxhash64("node", F.lit(turn)), "node")).alias("pick")
         )
         several = stored(
             sizes.groupBy("bucket")
@@ -280,6 +309,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rounds
         )
         outside = named.join(several, "bucket").where("comp <> main")
         if turn <= rounds:
+            taken = stored(taken.unionByName(several.select(F.col("pick").alias("node"))).distinct(), "near-taken")
             pairs = close(outside.select("node", F.col("pick").alias("center")).distinct())
         else:
             # A pair is met once: in the least bucket that its documents share, seen from outside the largest component.
@@ -288,7 +318,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rounds
             held = alive.join(sketches.join(lists, "node"), "node")
             others = held.select(
                 "bucket", F.col("node").alias("center"), F.col("comp").alias("other"),
-                F.col("sketch").alias("other_sketch"), F.col("buckets").alias("other_buckets"),
+                F.col("sketch").alias("other_sketch"), F.col("n").alias("other_n"), F.col("buckets").alias("other_buckets"),
             )
             once = F.get(F.array_intersect("buckets", "other_buckets"), F.lit(0)) == F.col("bucket")
             one_way = (F.col("other") == F.col("main")) | (F.col("node") > F.col("center"))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from plantline.llm import neardup
@@ -108,3 +109,33 @@ def test_pairs_far_from_the_largest_component_are_compared(spark, rounds):
 def test_empty_table(spark):
     assert neardup.near_duplicates(no_documents(spark)).collect() == []
     assert neardup.without_near_duplicates(no_documents(spark)).collect() == []
+
+
+def test_parities_never_rule_out_a_pair_that_is_similar_enough():
+    draw = np.random.default_rng(3)
+    for size in (1, 5, 60, 400, 5000):
+        for _ in range(60):
+            base = draw.integers(0, 2**63, size, dtype=np.uint64)
+            other = base.copy()
+            changed = draw.integers(0, size // 7 + 2)
+            other[draw.integers(0, size, changed)] = draw.integers(0, 2**63, changed, dtype=np.uint64)
+            a, b = np.unique(base), np.unique(other)
+            both = np.intersect1d(a, b).size
+            bits = sum(bin(int(x) & (2**64 - 1)).count("1") for x in neardup.parities(a) ^ neardup.parities(b))
+            assert bits <= a.size + b.size - 2 * both
+            if 100 * both >= 80 * (a.size + b.size - both):
+                assert 180 * bits <= 20 * (a.size + b.size)
+
+
+def test_a_group_of_copies_that_differ_from_each_other(spark):
+    """Copies of one text with many or few changes each: few pairs leave a join, and components are right."""
+    draw = random.Random(8)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(120)]
+    docs = []
+    for i in range(400):
+        own = list(base)
+        for _ in range(draw.randrange(0, 24)):
+            own[draw.randrange(len(own))] = f"x{draw.randrange(10**6)}"
+        docs.append((i, " ".join(own)))
+    found = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), shingle=2).collect()}
+    assert [found[i] for i in range(400)] == components([shingles(lower_words(t), 2) for _, t in docs])
