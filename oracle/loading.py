@@ -233,6 +233,24 @@ QUERIES = {
                CASE WHEN known THEN '2001-01-01' ELSE '2001-05-15' END AS created_at,
                CASE WHEN offered THEN '2001-05-15' ELSE '2001-01-01' END AS updated_at
         FROM order_sides""",
+    "merge_orders_by_month": """
+        WITH order_sides AS (SELECT *, order_date >= DATE '2000-07-01' AS offered, order_date < DATE '2001-01-01' AS known
+                             FROM fact_purchase_orders)
+        SELECT po_id, po_number, supplier_id,
+               CASE WHEN known THEN warehouse_id ELSE -1 END::BIGINT AS warehouse_id,
+               factory_id::BIGINT AS factory_id, order_date::VARCHAR AS order_date,
+               (promised_delivery_date + CASE WHEN offered THEN 1 ELSE 0 END)::VARCHAR AS promised_delivery_date,
+               CASE WHEN offered THEN 'DELIVERED' ELSE status END AS status,
+               (total_amount + CASE WHEN offered THEN 1 ELSE 0 END)::DOUBLE AS total_amount, currency,
+               CASE WHEN known THEN '2001-01-01' ELSE '2001-05-15' END AS created_at,
+               CASE WHEN offered THEN '2001-05-15' ELSE '2001-01-01' END AS updated_at
+        FROM order_sides""",
+    "append_movements_stored": """
+        SELECT movement_quarter, count(*) AS movements, sum(quantity)::BIGINT AS quantity FROM (
+            SELECT movement_quarter, quantity FROM ledger_named WHERE movement_date < DATE '2001-05-15'
+            UNION ALL
+            SELECT movement_quarter, min(quantity) FROM ledger_named WHERE movement_date >= DATE '2001-05-15'
+            GROUP BY movement_quarter, movement_id, movement_date) GROUP BY ALL""",
     "append_movements": """
         SELECT movement_id, material_id, warehouse_id::BIGINT AS warehouse_id,
                movement_date::VARCHAR AS movement_date, movement_type, quantity::BIGINT AS quantity,

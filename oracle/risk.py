@@ -326,7 +326,7 @@ QUERIES = {
             v(run_id, status)
         UNION ALL SELECT 'quality', test_name, status FROM dq_all
         UNION ALL SELECT 'reject', 'raw_' || entity || ':' || record_key, error_code FROM judged_all
-            WHERE error_code IS NOT NULL AND entity = 'suppliers'""",
+            WHERE error_code IS NOT NULL""",
     "apply_alert_updates": """
         SELECT alert_id, CASE WHEN n % 3 = 0 THEN 'RESOLVED' WHEN n % 2 = 0 THEN 'ACKNOWLEDGED' ELSE status END
                    AS status,

@@ -16,7 +16,7 @@ from plantline.session import cut_lineage, scratch_path
 from plantline.sources import csv_files
 from plantline.sources.raw_batches import BATCHES, SEQ
 from plantline.sources.star import StarSchema
-from plantline.sources.warehouse import LEDGER, QUARTER, Warehouse, current, ledger_between, quarter_of
+from plantline.sources.warehouse import LEDGER, QUARTER, Warehouse, current, ledger_between, quarter_of, write_ledger
 
 RUN, BATCH = "INBOUND_LOAD", "BATCH-1"
 # Declared ledger range of the test tables: six quarters.
@@ -111,6 +111,33 @@ def upsert_purchase_orders(star: StarSchema, as_of: date) -> DataFrame:
     return loading.upsert_purchase_orders(_stamp_columns(orders.where("order_date < date'2001-01-01'")), batch, as_of)
 
 
+def orders_merged_by_month(star: StarSchema, as_of: date) -> DataFrame:
+    """The orders of ``upsert_purchase_orders``, merged in two steps into the table stored by month and read back."""
+    orders = star["fact_purchase_orders"]
+    old = _stamp_columns(orders.where("order_date < date'2001-01-01'"))
+    batch = orders.where("order_date >= date'2000-07-01'").withColumns({
+        "status": F.lit("DELIVERED"),
+        "total_amount": (F.col("total_amount") + 1).cast("decimal(14,2)"),
+        "promised_delivery_date": F.date_add("promised_delivery_date", 1),
+        "warehouse_id": F.lit(-1),
+    })
+    root = scratch_path(star.spark, "orders")
+    loading.merge_orders(old, batch.where("order_date >= date'2001-02-01'"), root, as_of)
+    stored = current(star.spark, root, loading.ORDERS)
+    loading.merge_orders(stored, batch.where("order_date < date'2001-02-01'"), root, as_of)
+    return current(star.spark, root, loading.ORDERS).drop(loading.ORDER_MONTH)
+
+
+def append_stored(star: StarSchema, as_of: date) -> DataFrame:
+    """The quarters of the stored ledger after a batch was appended to it."""
+    ledger, batch = _ledger_and_batch(star, as_of)
+    stored = Warehouse.load({LEDGER: ledger}, star.spark, scratch_path(star.spark, "ledger"), DECLARED)
+    fresh = cut_lineage(new_movements(stored[LEDGER], cut_lineage(batch), DECLARED))
+    write_ledger(fresh, stored.path(LEDGER), DECLARED, mode="append")
+    stored.refresh(LEDGER)
+    return stored[LEDGER].groupBy(QUARTER).agg(F.count(F.lit(1)).alias("movements"), F.sum("quantity").alias("quantity"))
+
+
 def _ledger_and_batch(star: StarSchema, as_of: date) -> tuple[DataFrame, DataFrame]:
     movements = star[LEDGER]
     ledger = movements.where(F.col("movement_date") < F.lit(as_of))
@@ -384,13 +411,12 @@ def list_governance(star: StarSchema, as_of: date) -> DataFrame:
     results = serving.list_quality_results(quality.suite(star, as_of, "run-1", ENDED)).select(
         F.lit("quality").alias("list"), F.col("test_name").alias("entry"), "status"
     )
-    raw = BATCHES["suppliers"](star)
-    rejects = validation.rejected(
-        "suppliers", validation.classify("suppliers", raw, SEQ), SEQ, raw.columns, RUN, BATCH
-    ).withColumn("rejected_at", F.lit(ENDED))
+    rejects = dead_letters(star, as_of).withColumn("rejected_at", F.lit(ENDED))
+    keys = {f"raw_{e}": validation.ENTITIES[e].key for e in BATCHES}
+    named = [F.when(F.col("source_table") == t, F.get_json_object("payload", f"$.{k}")) for t, k in keys.items()]
     shown = serving.list_rejects(rejects).select(
         F.lit("reject").alias("list"),
-        F.concat("source_table", F.lit(":"), F.get_json_object("payload", "$.supplier_id")).alias("entry"),
+        F.concat("source_table", F.lit(":"), F.coalesce(*named)).alias("entry"),
         F.col("error_code").alias("status"),
     )
     return audit.unionByName(results).unionByName(shown)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantline.sources.warehouse import QUARTER, quarter_of
+from plantline.sources.warehouse import QUARTER, touched_quarters
 
 
 def unique_rows(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -72,18 +73,22 @@ def insert_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> D
     return target.unionByName(absent_rows(target, batch, keys).select(*target.columns))
 
 
-def new_movements(ledger: DataFrame, batch: DataFrame, declared=None) -> DataFrame:
+def new_movements(ledger: DataFrame, batch: DataFrame, declared: tuple[date, date] | None = None) -> DataFrame:
     """Batch movements not in the ledger yet, by (movement_id, movement_date).
 
-    Only the part of the ledger inside the batch's date range is read; on a
-    partitioned ledger only the quarters the batch touches.
+    Only the part of the ledger inside the batch's date range is read. With
+    ``declared`` and a partitioned ledger the dates and quarters of the batch are
+    looked up first, so that they reach the scan as literals: partitions of other
+    quarters are not opened, and row groups of other days are skipped. The batch
+    is read for that too, so it should be stored.
     """
     keys = ["movement_id", "movement_date"]
-    span = batch.agg(F.min("movement_date").alias("low"), F.max("movement_date").alias("high"))
-    touched = ledger.where(
-        F.col("movement_date").between(span.select("low").scalar(), span.select("high").scalar())
-    )
-    if declared is not None and QUARTER in ledger.columns:
-        quarters = batch.select(quarter_of(F.col("movement_date"), declared).alias(QUARTER)).distinct()
-        touched = touched.join(quarters, QUARTER, "left_semi")
-    return absent_rows(touched, batch, keys)
+    day = F.col("movement_date")
+    if declared is None or QUARTER not in ledger.columns:
+        span = batch.agg(F.min("movement_date").alias("low"), F.max("movement_date").alias("high"))
+        return absent_rows(ledger.where(day.between(span.select("low").scalar(), span.select("high").scalar())), batch, keys)
+    touched = touched_quarters(batch, declared)
+    if touched is None:
+        return first_per_key(batch, keys)
+    low, high, quarters = touched
+    return absent_rows(ledger.where(F.col(QUARTER).isin(*quarters) & day.between(F.lit(low), F.lit(high))), batch, keys)

@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantline.functions.exprs import ratio, real_ratio
-from plantline.operators.ordered import running_totals, trailing_sums
+from plantline.operators.ordered import running_totals_in_one_scan, trailing_sums
 from plantline.plans.marts import MONEY, Tables, production_at_risk
 from plantline.sources.warehouse import LEDGER_RANGE, ledger_between
 
 CELL = ["material_id", "warehouse_id"]
 LEDGER_ORDER = ["movement_date", "movement_id", "quantity"]
 BURN_ROWS = 31
-# What of a movement id names its block within a day: leading characters, or a span of numbers.
-ID_PREFIX, ID_SPAN = 6, 1 << 20
+# What of a movement id names its block within a day: leading characters (of an id like MOV-00012345 all but the last
+# three, so a thousand ids), or a span of numbers.
+ID_PREFIX, ID_SPAN = 9, 1 << 20
 
 
 def _ledger_rows(movements: DataFrame) -> DataFrame:
@@ -32,7 +33,7 @@ def _block(rows: DataFrame) -> Column:
 
 
 def _balance(rows: DataFrame, **more: Column) -> DataFrame:
-    return running_totals(
+    return running_totals_in_one_scan(
         rows, CELL, _block(rows), [F.col(c) for c in LEDGER_ORDER], {"running_balance": F.col("quantity"), **more}
     )
 

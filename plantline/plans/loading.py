@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantline import schema
@@ -17,7 +17,16 @@ from plantline.operators.merge import insert_absent, new_movements, unique_rows,
 from plantline.plans import marts
 from plantline.session import cut_lineage
 from plantline.sources import csv_files
-from plantline.sources.warehouse import LEDGER, QUARTER, Warehouse, current, current_or, publish, write_ledger
+from plantline.sources.warehouse import (
+    LEDGER,
+    QUARTER,
+    Warehouse,
+    current,
+    current_or,
+    publish,
+    replace_partitions,
+    write_ledger,
+)
 
 log = logging.getLogger(__name__)
 
@@ -39,6 +48,8 @@ LEDGER_RUN = "MOVEMENTS_LOAD"
 INGEST_ENTITIES = ("suppliers", "materials", "purchase_orders")
 AUDIT_LOG = "etl_pipeline_audit"
 ALERT_KEYS = ["alert_id"]
+ORDERS = "fact_purchase_orders"
+ORDER_MONTH = "order_month"
 
 
 def _stamped(target: DataFrame, as_of: date | datetime):
@@ -125,20 +136,43 @@ def run_ingest(
 
     The classified batch is checkpointed, as the accepted rows, the dead letters
     and the counts all read it. A missing file is skipped with a warning. Each
-    run publishes a new version of the tables it merges and starts from the
-    latest one, so a failed run leaves the tables as they were. The run is logged
-    as RUNNING before any work, and as SUCCESS or FAILED with its real duration.
+    run publishes a new version of the supplier and material tables and starts from
+    the latest one, so a failed run leaves them as they were; of the orders it
+    replaces the months that the batch touches. The run is logged as RUNNING before
+    any work, and as SUCCESS or FAILED with its real duration.
+    """
+
+    def work(ended: Callable[[], datetime]) -> DataFrame:
+        counts = merge_entities(spark, inbound, warehouse, output, batch_id, as_of, seq)
+        return ingest_result(spark, counts, run_id, ended())
+
+    return recorded(spark, output, run_id, INGEST_RUN, batch_id, as_of, work)
+
+
+def recorded(
+    spark: SparkSession,
+    output: str,
+    run_id: str,
+    name: str,
+    batch_id: str,
+    at: datetime,
+    work: Callable[[Callable[[], datetime]], DataFrame],
+) -> DataFrame:
+    """Run a job with its states in the stored trail; returns the closed audit row.
+
+    RUNNING is stored before any work, then the result of ``work``, or FAILED with
+    its message; both with the real duration. ``work`` gets a clock that tells the
+    time of the job, and returns a row of RUN_RESULT.
     """
-    audit = audit_start(spark, run_id, INGEST_RUN, batch_id, as_of)
+    audit = audit_start(spark, run_id, name, batch_id, at)
     log_run(audit, output)
     began = time.monotonic()
 
     def ended() -> datetime:
-        return as_of + timedelta(seconds=time.monotonic() - began)
+        return at + timedelta(seconds=time.monotonic() - began)
 
     try:
-        counts = merge_entities(spark, inbound, warehouse, output, batch_id, as_of, seq)
-        closed = cut_lineage(audit_finish(audit, ingest_result(spark, counts, run_id, ended())))
+        closed = cut_lineage(audit_finish(audit, work(ended)))
     except Exception as problem:
         result = [(run_id, ended(), "FAILED", 0, 0, 0, str(problem))]
         log_run(audit_finish(audit, spark.createDataFrame(result, schema.RUN_RESULT)), output)
@@ -164,7 +198,7 @@ def merge_entities(
     spark: SparkSession, inbound: str, warehouse: Warehouse, output: str, batch_id: str, as_of: datetime, seq: str
 ) -> DataFrame | None:
     """Classify and merge each entity file that is there; returns the counts, or nothing without any file."""
-    upserts = {
+    upserts: dict[str, tuple[str, Callable]] = {
         "suppliers": ("dim_supplier", upsert_suppliers),
         "materials": ("dim_material", upsert_materials),
         "purchase_orders": ("fact_purchase_orders", upsert_purchase_orders),
@@ -181,13 +215,55 @@ def merge_entities(
         )
         table, merge = upserts[entity]
         target = current_or(spark, output, table, warehouse[table])
-        merged = merge(target, validation.accepted(entity, classified), as_of)
-        publish(merged, output, table, version_of(as_of))
+        accepted = validation.accepted(entity, classified)
+        if table == ORDERS:
+            merge_orders(target, accepted, output, as_of)
+        else:
+            publish(merge(target, accepted, as_of), output, table, version_of(as_of))
         one = validation.batch_counts(entity, classified)
         counts = one if counts is None else counts.unionByName(one)
     return counts
 
 
+def month_of(day: str) -> Column:
+    """Partition name of an order date; orders without a date share one."""
+    return F.coalesce(F.date_format(day, "yyyy_MM"), F.lit("none"))
+
+
+def touched_months(stored: DataFrame, batch: DataFrame) -> list[str]:
+    """The months that an order batch changes: those of the known orders it names, and those of its new orders.
+
+    An order stays in the month it was stored under, whatever date the batch gives.
+    Of the stored orders only ids and months are read.
+    """
+    known = stored.select("po_id", ORDER_MONTH)
+    ids = batch.select("po_id").distinct()
+    matched = known.join(ids, "po_id", "left_semi").select(ORDER_MONTH)
+    new = batch.join(known, "po_id", "left_anti").select(month_of("order_date").alias(ORDER_MONTH))
+    return sorted(r[0] for r in matched.unionByName(new).distinct().collect())
+
+
+def merge_orders(target: DataFrame, batch: DataFrame, output: str, as_of: date | datetime) -> list[str]:
+    """Merge an order batch into the orders stored by month below ``output``; returns the months written.
+
+    The first merge publishes the whole table by month. Later ones read and replace
+    only the months that the batch touches; the merge is the same upsert. A run that
+    fails while it replaces months is repaired by running the same batch again.
+    """
+    month = month_of("order_date").alias(ORDER_MONTH)
+    if ORDER_MONTH not in target.columns:
+        merged = upsert_purchase_orders(target, batch, as_of)
+        publish(merged.select("*", month), output, ORDERS, version_of(as_of), by=ORDER_MONTH)
+        return []
+    batch = cut_lineage(batch)
+    months = touched_months(target, batch)
+    if months:
+        part = target.where(F.col(ORDER_MONTH).isin(*months)).drop(ORDER_MONTH)
+        # The months are read and replaced, so the merged rows are fixed in between.
+        replace_partitions(cut_lineage(upsert_purchase_orders(part, batch, as_of).select("*", month)), output, ORDERS, ORDER_MONTH)
+    return months
+
+
 def version_of(at: datetime) -> str:
     """Version names sort by time."""
     return f"{at:%Y%m%dT%H%M%S}"
@@ -213,32 +289,36 @@ def store_rejected(rows: DataFrame, path: str) -> None:
 
 
 def load_movements(
-    spark: SparkSession, path: str, warehouse: Warehouse, run_id: str, batch_id: str, at: datetime
+    spark: SparkSession, path: str, warehouse: Warehouse, run_id: str, batch_id: str, at: datetime, output: str | None = None
 ) -> DataFrame:
     """Append a movement file to the partitioned ledger; returns the closed audit row.
 
-    ``rows_loaded`` counts the rows offered, whether or not they were already there.
+    The run is kept in the audit trail below ``output`` (by default the warehouse's
+    folder) as RUNNING and then as SUCCESS or FAILED; a missing file is a failure
+    that is reported and not raised. The file is parsed once, and only the quarters
+    it falls into are opened. ``rows_loaded`` counts the rows offered, whether or
+    not they were already there.
     """
-    audit = audit_start(spark, run_id, LEDGER_RUN, batch_id, at)
-    try:
-        batch = csv_files.read_entity(spark, path, "inventory_movements")
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        missing = [(run_id, at, "FAILED", 0, 0, 0, "File not found")]
-        return audit_finish(audit, spark.createDataFrame(missing, schema.RUN_RESULT))
-    ledger = warehouse[LEDGER]
-    columns = [c for c in ledger.columns if c != QUARTER]
-    fresh = new_movements(ledger, batch.select(*columns), warehouse.declared)
-    # The ledger is read to find the new rows, so these are fixed before it is written to.
-    write_ledger(cut_lineage(fresh), warehouse.path(LEDGER), warehouse.declared, mode="append")
-    warehouse.refresh(LEDGER)
-    offered = batch.agg(
-        F.lit(run_id).alias("run_id"), F.lit(at).alias("end_time"), F.lit("SUCCESS").alias("status"),
-        F.count(F.lit(1)).alias("rows_extracted"), F.count(F.lit(1)).alias("rows_loaded"),
-        F.lit(0).cast("bigint").alias("rows_rejected"), F.lit(None).cast("string").alias("error_message"),
-    )
-    return audit_finish(audit, offered)
+
+    def work(ended: Callable[[], datetime]) -> DataFrame:
+        try:
+            batch = csv_files.read_entity(spark, path, "inventory_movements")
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing = [(run_id, ended(), "FAILED", 0, 0, 0, "File not found")]
+            return spark.createDataFrame(missing, schema.RUN_RESULT)
+        ledger = warehouse[LEDGER]
+        columns = [c for c in ledger.columns if c != QUARTER]
+        batch = cut_lineage(batch.select(*columns))
+        fresh = new_movements(ledger, batch, warehouse.declared)
+        # The ledger is read to find the new rows, so these are fixed before it is written to.
+        write_ledger(cut_lineage(fresh), warehouse.path(LEDGER), warehouse.declared, mode="append")
+        warehouse.refresh(LEDGER)
+        offered = batch.count()
+        return spark.createDataFrame([(run_id, ended(), "SUCCESS", offered, offered, 0, None)], schema.RUN_RESULT)
+
+    return recorded(spark, output or warehouse.root, run_id, LEDGER_RUN, batch_id, at, work)
 
 
 def refresh_marts(t: Mapping[str, DataFrame], spark: SparkSession, root: str, version: str, as_of: date) -> None:

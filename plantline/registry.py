@@ -88,7 +88,9 @@ register("load_audit", cases.load_audit)
 register("upsert_suppliers", cases.upsert_suppliers)
 register("upsert_materials", cases.upsert_materials)
 register("upsert_purchase_orders", cases.upsert_purchase_orders)
+register("merge_orders_by_month", cases.orders_merged_by_month)
 register("append_movements", cases.append_movements)
+register("append_movements_stored", cases.append_stored)
 register("append_movement_counts", cases.append_counts)
 
 register("dq_negative_balance", quality.negative_balance)

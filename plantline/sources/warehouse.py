@@ -39,6 +39,18 @@ def quarters_between(low: date, high: date | None, declared: tuple[date, date])
     return names
 
 
+def touched_quarters(movements: DataFrame, declared: tuple[date, date]) -> tuple[date, date, list[str]] | None:
+    """First and last day of a batch and the partitions it falls into; nothing if it is empty or holds no date.
+
+    One job over the batch; there are no more names than the declared range has quarters.
+    """
+    day = F.col("movement_date")
+    found = movements.where(day.isNotNull()).agg(
+        F.min(day).alias("low"), F.max(day).alias("high"), F.sort_array(F.collect_set(quarter_of(day, declared))).alias("quarters")
+    ).first()
+    return None if found.low is None else (found.low, found.high, found.quarters)
+
+
 def ledger_between(
     ledger: DataFrame, low: date, high: date | None = None, declared: tuple[date, date] = LEDGER_RANGE
 ) -> DataFrame:
@@ -130,8 +142,8 @@ def _versions(root: str, name: str) -> str:
     return f"{root}/_versions/{name}"
 
 
-def publish(df: DataFrame, root: str, name: str, version: str) -> None:
-    """Add a version of a table; ``version`` is its business time, kept for information.
+def publish(df: DataFrame, root: str, name: str, version: str, by: str | None = None) -> None:
+    """Add a version of a table, partitioned ``by`` a column if given; ``version`` is its business time, kept for information.
 
     Readers see it once its row in the version log is written, after all its
     files. The version published last is the current one, whatever its business
@@ -141,7 +153,11 @@ def publish(df: DataFrame, root: str, name: str, version: str) -> None:
     latest = _latest(spark, root, name)
     number = now if latest is None else max(now, latest.published_at + 1)
     path = f"{root}/{name}/{number:020d}"
-    df.write.parquet(path)
+    if by is None:
+        df.write.parquet(path)
+    else:
+        # Large partitions get several writers, small ones share one.
+        df.repartitionByRange(by, *[c for c in df.columns if c != by][:1]).write.partitionBy(by).parquet(path)
     spark.createDataFrame([(number, path, version)], VERSION).coalesce(1).write.mode("append").parquet(_versions(root, name))
 
 
@@ -164,6 +180,21 @@ def current(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(latest.path)
 
 
+def replace_partitions(df: DataFrame, root: str, name: str, by: str) -> None:
+    """Overwrite those partitions of the current version that ``df`` has rows of; the files of others stay.
+
+    ``df`` must not read the version it goes to; store it first. A reader that has
+    listed a replaced partition before must read again.
+    """
+    latest = _latest(df.sparkSession, root, name)
+    if latest is None:
+        raise LookupError(f"{name} has not been published below {root}")
+    (
+        df.repartitionByRange(by, *[c for c in df.columns if c != by][:1])
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(latest.path)
+    )
+
+
 def current_or(spark: SparkSession, root: str, name: str, otherwise: DataFrame) -> DataFrame:
     """The current version of a table, or ``otherwise`` when none has been published yet. Other errors are raised."""
     return otherwise if _latest(spark, root, name) is None else current(spark, root, name)

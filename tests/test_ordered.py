@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plantline.operators.grid import pair_with_all
-from plantline.operators.ordered import dense_ranks, exact_median, running_totals, trailing_sums
+from plantline.operators.ordered import dense_ranks, exact_median, running_totals, running_totals_in_one_scan, trailing_sums
 from plantline.plans import comparisons
 
 
@@ -125,3 +125,15 @@ def test_rows_with_null_keys_keep_their_running_balance(spark):
     expected = {(m, w, d, b) for m in (1, None) for w in (2, None) for d, b in ((1, 10), (2, 30), (3, 60))}
     assert len(found) == len(rows)
     assert {(r.material_id, r.warehouse_id, r.movement_date.day, r.running_balance) for r in found} == expected
+
+
+def test_running_totals_read_their_input_once(spark, tmp_path):
+    rows = [(k, d, d * (k or 3)) for k in (1, 2, None, 0) for d in range(40)]
+    spark.createDataFrame(rows, "k int, d int, v int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    result = running_totals_in_one_scan(df, ["k"], F.floor(F.col("d") / 7), [F.col("d")], {"upto": F.col("v")})
+    found = {(r.k, r.d): r.upto for r in result.collect()}
+    assert len(found) == 160 and all(found[k, d] == (k or 3) * d * (d + 1) // 2 for k in (1, 2, None, 0) for d in range(40))
+    assert sorted(map(str, result.collect())) == sorted(map(str, running_totals(df, ["k"], F.floor(F.col("d") / 7), [F.col("d")], {"upto": F.col("v")}).collect()))
+    plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1

@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from plantline import schema
 from plantline.operators.calendar import fixed_calendar
+from plantline.operators.merge import new_movements
 from plantline.plans import analytics, loading, quality
 from plantline.sources import csv_files
 from plantline.sources.star import AS_OF, StarSchema
@@ -18,6 +20,7 @@ from plantline.sources.warehouse import (
     ledger_between,
     publish,
     quarters_between,
+    write_ledger,
 )
 
 FOLDER = "/root/testdata/sf0.001"
@@ -207,3 +210,63 @@ def test_plans_hold_no_python_and_no_cartesian_product(spark, key):
 
 def test_rules_cover_the_suite():
     assert len(quality.RULES) == 7
+
+
+def files_below(folder):
+    return {str(f.relative_to(folder)): f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
+
+
+def test_append_opens_and_writes_only_its_quarters(spark, tmp_path):
+    star = StarSchema(spark, FOLDER)
+    stored = Warehouse.load({LEDGER: star[LEDGER]}, spark, str(tmp_path), DECLARED)
+    batch = spark.createDataFrame(
+        [("N-1", 1, 1, 1, date(2000, 5, 2), "SCRAP", -1), ("N-2", 1, 1, 1, date(2000, 8, 9), "SCRAP", -2)],
+        star[LEDGER].select("movement_id", "material_id", "warehouse_id", "factory_id", "movement_date", "movement_type", "quantity").schema,
+    )
+    fresh = new_movements(stored[LEDGER], batch, DECLARED)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line and QUARTER in line)
+    assert "2000_q2" in filters and "2000_q3" in filters and "2000_q4" not in filters and "subquery" not in filters
+    before = files_below(tmp_path / LEDGER)
+    write_ledger(fresh, stored.path(LEDGER), DECLARED, mode="append")
+    added = {f.split("/")[0] for f in set(files_below(tmp_path / LEDGER)) - set(before)}
+    assert added == {f"{QUARTER}=2000_q2", f"{QUARTER}=2000_q3"}
+    assert new_movements(stored[LEDGER], batch.limit(0), DECLARED).count() == 0
+
+
+def test_order_merge_leaves_other_months_alone(spark, tmp_path):
+    schema_of = "po_id string, po_number string, supplier_id string, warehouse_id string, factory_id string, order_date date, " \
+        "promised_delivery_date date, status string, total_amount decimal(14,2), currency string, created_at date, updated_at date"
+
+    def order(key, day, status="OPEN"):
+        return (key, "N", "1", "1", "1", day, day, status, Decimal(1), "USD", date(2001, 1, 1), date(2001, 1, 1))
+
+    days = [date(2000, 1, 3), date(2000, 2, 3), date(2000, 3, 3), None]
+    target = spark.createDataFrame([order(f"{i}", d) for i, d in enumerate(days)], schema_of)
+    root = str(tmp_path)
+    assert loading.merge_orders(target, target.limit(0), root, date(2001, 5, 1)) == []
+    before = files_below(tmp_path)
+    # The batch names a known order under another date, and a new one.
+    batch = spark.createDataFrame([order("1", date(2000, 3, 9), "DELIVERED"), order("9", date(2000, 4, 1))], schema_of)
+    months = loading.merge_orders(current(spark, root, loading.ORDERS), batch, root, date(2001, 5, 1))
+    assert months == ["2000_02", "2000_04"]
+    after = files_below(tmp_path)
+    kept = {f for f in before if before[f] == after.get(f)}
+    assert {f.split(loading.ORDER_MONTH + "=")[1].split("/")[0] for f in kept if loading.ORDER_MONTH in f} == {"2000_01", "2000_03", "none"}
+    rows = {r.po_id: r for r in current(spark, root, loading.ORDERS).collect()}
+    assert (rows["1"].status, rows["1"].order_date, rows["9"].status) == ("DELIVERED", date(2000, 2, 3), "OPEN") and len(rows) == 5
+    assert loading.merge_orders(current(spark, root, loading.ORDERS), batch.limit(0), root, date(2001, 5, 1)) == []
+
+
+def test_movement_load_keeps_its_trail(spark, tmp_path):
+    star = StarSchema(spark, FOLDER)
+    stored = Warehouse.load({LEDGER: star[LEDGER]}, spark, str(tmp_path / "wh"), DECLARED)
+    missing = loading.load_movements(spark, str(tmp_path / "none.csv"), stored, "r1", "B", AT).first()
+    (tmp_path / "bad.csv").write_text(",".join(schema.entity("inventory_movements").names) + "\nM-1,1,1,1,no date,SCRAP,1,X,1\n")
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        loading.load_movements(spark, str(tmp_path / "bad.csv"), stored, "r2", "B", AT)
+    runs = {r.run_id: r for r in loading.stored_runs(spark, str(tmp_path / "wh")).collect()}
+    assert missing.status == "FAILED" and runs["r1"].error_message == "File not found"
+    assert runs["r2"].status == "FAILED" and runs["r2"].error_message and runs["r2"].end_time is not None
+    states = spark.read.parquet(f"{tmp_path}/wh/{loading.AUDIT_LOG}").where("run_id = 'r2'").select("status").collect()
+    assert sorted(r.status for r in states) == ["FAILED", "RUNNING"]
