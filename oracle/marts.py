@@ -84,5 +84,6 @@ PARTS = {
 QUERIES = {
     "mart_supplier_performance": "SELECT * FROM mart_supplier",
     "mart_inventory_health": "SELECT * FROM mart_inventory",
+    "mart_inventory_health_stored": "SELECT * FROM mart_inventory",
     "mart_production_at_risk": "SELECT * FROM mart_production",
 }

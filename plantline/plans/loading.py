@@ -315,6 +315,9 @@ def load_movements(
         # The ledger is read to find the new rows, so these are fixed before it is written to.
         write_ledger(cut_lineage(fresh), warehouse.path(LEDGER), warehouse.declared, mode="append")
         warehouse.refresh(LEDGER)
+        # Totals of the quarters written to are out of date from the append on; where totals are kept, they follow.
+        if warehouse.summed_quarters():
+            warehouse.refresh_totals()
         offered = batch.count()
         return spark.createDataFrame([(run_id, ended(), "SUCCESS", offered, offered, 0, None)], schema.RUN_RESULT)
 

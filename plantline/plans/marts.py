@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from plantline.functions.exprs import quotient, ratio, real_ratio, sample_std
 from plantline.operators.grid import pair_with_all
 from plantline.operators.ordered import dense_ranks
 from plantline.session import cut_lineage
+from plantline.sources.warehouse import ledger_flows
 
 Tables = Mapping[str, DataFrame]
 
@@ -107,11 +108,10 @@ def category_ranks(t: Tables, as_of: date | None = None) -> DataFrame:
 
 
 def movement_totals(t: Tables, as_of: date, days: int) -> DataFrame:
-    """Stock and recent consumption per material and warehouse, in one pass over the ledger."""
-    quantity = F.col("quantity")
-    recent = (F.col("movement_date") >= F.date_sub(F.lit(as_of), days)) & (quantity < 0)
-    return t["fact_inventory_movements"].groupBy("material_id", "warehouse_id").agg(
-        F.sum(quantity).alias("stock"), F.sum(F.when(recent, -quantity).otherwise(0)).alias("consumed")
+    """Stock and recent consumption per material and warehouse, in one pass over the quarters not summed up yet."""
+    flows = ledger_flows(t, as_of - timedelta(days=days))
+    return flows.groupBy("material_id", "warehouse_id").agg(
+        F.sum("quantity").alias("stock"), F.coalesce(F.sum("recent"), F.lit(0)).alias("consumed")
     )
 
 

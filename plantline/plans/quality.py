@@ -23,6 +23,7 @@ from plantline.operators.checks import (
 )
 from plantline.operators.validation import TIERS
 from plantline.plans.marts import Tables
+from plantline.sources.warehouse import ledger_flows
 
 log = logging.getLogger(__name__)
 
@@ -61,9 +62,7 @@ def _found(text: str) -> Column:
 
 
 def negative_balance(t: Tables, as_of: date | None = None) -> DataFrame:
-    balances = t["fact_inventory_movements"].groupBy("material_id", "warehouse_id").agg(
-        F.sum("quantity").alias("stock")
-    )
+    balances = ledger_flows(t).groupBy("material_id", "warehouse_id").agg(F.sum("quantity").alias("stock"))
     return _result(
         balances.agg(F.count_if(F.col("stock") < 0).alias("n")),
         "assert_non_negative_inventory_balance", "fact_inventory_movements", "RANGE", F.col("n"), 0.0, "FAIL",

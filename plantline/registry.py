@@ -45,6 +45,7 @@ def register(key: str, plan: Callable[..., DataFrame], **params) -> None:
 register("mart_supplier_performance", marts.supplier_performance)
 register("mart_inventory_health", marts.inventory_health)
 register("mart_production_at_risk", marts.production_at_risk)
+register("mart_inventory_health_stored", cases.inventory_health_from_totals)
 
 register("window_lag_otd", trends.lag_otd)
 register("window_lead_variance", trends.lead_variance)

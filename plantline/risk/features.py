@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plantline.functions.exprs import real_ratio, round_scaled, sample_std
 from plantline.plans.marts import MONEY, OPEN_ORDER_STATES, Tables, delivery_totals, inspection_totals
+from plantline.sources.warehouse import ledger_flows
 
 SUPPLIER_FEATURES = (
     "otd_rate_90d", "avg_variance_days", "std_variance_days", "defect_ppm_90d", "financial_risk_score",
@@ -59,10 +60,7 @@ def supplier_features(t: Tables, as_of: date | None = None) -> DataFrame:
 
 
 def material_features(t: Tables, as_of: date | None = None) -> DataFrame:
-    quantity = F.col("quantity")
-    ledger = t["fact_inventory_movements"].groupBy("material_id").agg(
-        F.sum(quantity).alias("stock"), F.sum(F.when(quantity < 0, -quantity)).alias("consumed")
-    )
+    ledger = ledger_flows(t).groupBy("material_id").agg(F.sum("quantity").alias("stock"), F.sum("outflow").alias("consumed"))
     allocations = t["fact_bom_allocations"].groupBy("material_id").agg(
         F.count("allocation_id").alias("allocations"),
         F.sum("required_quantity").alias("total_required_units"),

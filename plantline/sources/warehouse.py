@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Iterator, Mapping
 from datetime import date
@@ -87,6 +88,27 @@ def write_ledger(
     )
 
 
+TOTALS = "ledger_totals"
+SIGNATURES = "ledger_total_signatures"
+CELL = ["material_id", "warehouse_id"]
+
+
+def ledger_signatures(ledger: DataFrame) -> dict[str, str]:
+    """A checksum of the names of each quarter's files; it changes with every append to the quarter."""
+    names: dict[str, list[str]] = {}
+    for path in ledger.inputFiles():
+        folder, _, name = path.rpartition("/")
+        quarter = folder.rpartition(f"/{QUARTER}=")[2]
+        names.setdefault(quarter, []).append(name)
+    return {q: hashlib.sha256("\n".join(sorted(n)).encode()).hexdigest() for q, n in names.items()}
+
+
+def quarter_end(name: str) -> date:
+    """The day after the last of a quarter."""
+    year, quarter = int(name[:4]), int(name[-1])
+    return date(year + quarter // 4, quarter % 4 * 3 + 1, 1)
+
+
 class Warehouse(Mapping[str, DataFrame]):
     """Tables stored below one folder, readable like a dict of DataFrames."""
 
@@ -96,6 +118,7 @@ class Warehouse(Mapping[str, DataFrame]):
         self.names = names
         self.declared = declared
         self._opened: dict[str, DataFrame] = {}
+        self._fresh: list[str] | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -110,6 +133,53 @@ class Warehouse(Mapping[str, DataFrame]):
     def refresh(self, name: str) -> None:
         """Forget the file listing of a table that was written to."""
         self._opened.pop(name, None)
+        self._fresh = None
+
+    def refresh_totals(self) -> list[str]:
+        """Sum up the ledger by quarter and cell where files came since the last time; returns those quarters.
+
+        The totals of other quarters stay. A quarter's signature is stored after its
+        totals, so that a run that fails in between leaves the quarter out of date.
+        """
+        self.refresh(LEDGER)
+        ledger = self[LEDGER]
+        signatures = ledger_signatures(ledger)
+        stale = sorted(set(signatures) - set(self.summed_quarters()))
+        if stale:
+            quantity = F.col("quantity")
+            (
+                ledger.where(F.col(QUARTER).isin(*stale)).groupBy(QUARTER, *CELL)
+                .agg(F.sum(quantity).alias("quantity"), F.sum(F.when(quantity < 0, -quantity)).alias("outflow"))
+                .repartition(QUARTER)
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(QUARTER).parquet(self.path(TOTALS))
+            )
+            rows = [(q, signatures[q], time.time_ns()) for q in stale]
+            found = self.spark.createDataFrame(rows, f"{QUARTER} string, signature string, written_at bigint")
+            found.coalesce(1).write.mode("append").parquet(self.path(SIGNATURES))
+            self._fresh = None
+        return stale
+
+    def summed_quarters(self) -> list[str]:
+        """Quarters whose totals stand for all their files. Looked up once until the ledger is written to."""
+        if self._fresh is None:
+            try:
+                rows = self.spark.read.parquet(self.path(SIGNATURES))
+                last = rows.groupBy(QUARTER).agg(F.max_by("signature", "written_at").alias("signature")).collect()
+            except AnalysisException as problem:
+                if problem.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                last = []
+            now = ledger_signatures(self[LEDGER])
+            self._fresh = sorted(r[QUARTER] for r in last if now.get(r[QUARTER]) == r.signature)
+        return self._fresh
+
+    def totals(self, quarters: list[str]) -> DataFrame:
+        stored = self.spark.read.schema(f"material_id {self._kind('material_id')}, warehouse_id {self._kind('warehouse_id')}, "
+                                        f"quantity bigint, outflow bigint, {QUARTER} string").parquet(self.path(TOTALS))
+        return stored.where(F.col(QUARTER).isin(*quarters))
+
+    def _kind(self, column: str) -> str:
+        return self[LEDGER].schema[column].dataType.simpleString()
 
     def __iter__(self) -> Iterator[str]:
         return iter(self.names)
@@ -135,6 +205,29 @@ class Warehouse(Mapping[str, DataFrame]):
         return stored
 
 
+def ledger_flows(tables: Mapping[str, DataFrame], since: date | None = None) -> DataFrame:
+    """(material_id, warehouse_id, quantity, outflow, recent): parts that add up to the flows of each cell.
+
+    ``outflow`` is null without any; ``recent`` is the outflow from ``since`` on. A
+    stored warehouse gives the totals of quarters that are up to date and end by
+    ``since``, and movements of the other quarters only: a closed quarter is not
+    scanned again until files are added to it.
+    """
+    quantity, day = F.col("quantity"), F.col("movement_date")
+    out = F.when(quantity < 0, -quantity)
+    recent = F.when(day >= F.lit(since), out) if since else F.lit(None).cast("bigint")
+    rows, stored = tables[LEDGER], None
+    if isinstance(tables, Warehouse) and QUARTER in rows.columns:
+        closed = [q for q in tables.summed_quarters() if since is None or (q != "default" and quarter_end(q) <= since)]
+        if closed:
+            rows = rows.where(~F.col(QUARTER).isin(*closed))
+            stored = tables.totals(closed).select(*CELL, "quantity", "outflow", F.lit(None).cast("bigint").alias("recent"))
+    moved = rows.groupBy(*CELL).agg(
+        F.sum(quantity).alias("quantity"), F.sum(out).alias("outflow"), F.sum(recent).cast("bigint").alias("recent")
+    )
+    return moved if stored is None else moved.unionByName(stored)
+
+
 VERSION = "published_at bigint, path string, business string"
 
 

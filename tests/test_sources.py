@@ -14,10 +14,12 @@ from plantline.sources.star import AS_OF, StarSchema
 from plantline.sources.warehouse import (
     LEDGER,
     QUARTER,
+    TOTALS,
     Warehouse,
     current,
     current_or,
     ledger_between,
+    ledger_flows,
     publish,
     quarters_between,
     write_ledger,
@@ -270,3 +272,28 @@ def test_movement_load_keeps_its_trail(spark, tmp_path):
     assert runs["r2"].status == "FAILED" and runs["r2"].error_message and runs["r2"].end_time is not None
     states = spark.read.parquet(f"{tmp_path}/wh/{loading.AUDIT_LOG}").where("run_id = 'r2'").select("status").collect()
     assert sorted(r.status for r in states) == ["FAILED", "RUNNING"]
+
+
+def test_totals_of_closed_quarters_replace_their_scan(spark, tmp_path):
+    star = StarSchema(spark, FOLDER)
+    stored = Warehouse.load({LEDGER: star[LEDGER]}, spark, str(tmp_path), DECLARED)
+    cells = lambda t: sorted(map(str, ledger_flows(t, date(2001, 2, 1)).groupBy("material_id", "warehouse_id").agg(
+        F.sum("quantity"), F.sum("outflow"), F.sum("recent")).collect()))
+    expected = cells(star)
+    assert stored.summed_quarters() == [] and cells(stored) == expected
+    assert stored.refresh_totals() == sorted(quarters_between(date(1990, 1, 1), None, DECLARED)) and stored.refresh_totals() == []
+    assert cells(stored) == expected
+    scans = [line for line in plan_of(ledger_flows(stored, date(2001, 2, 1))).splitlines() if "PartitionFilters" in line]
+    ledger = next(line for line in scans if "movement_date" in line)
+    assert "NOT" in ledger and "2000_q4" in ledger and "2001_q1" not in ledger
+    # A late row: its quarter is scanned again, then summed up again; the others stay.
+    late = star[LEDGER].where("movement_date = date'2000-02-29'").limit(1)
+    write_ledger(late, stored.path(LEDGER), DECLARED, mode="append")
+    stored.refresh(LEDGER)
+    assert "2000_q1" not in stored.summed_quarters() and len(stored.summed_quarters()) == 6
+    again = cells({LEDGER: stored[LEDGER]})
+    assert cells(stored) == again != expected
+    before = files_below(tmp_path / TOTALS)
+    assert stored.refresh_totals() == ["2000_q1"] and cells(stored) == again
+    changed = set(files_below(tmp_path / TOTALS)) ^ set(before)
+    assert {f.split("/")[0] for f in changed} == {f"{QUARTER}=2000_q1"}
