@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from plantline.llm import topk
@@ -41,7 +42,7 @@ def test_bound_order_stops_early_and_stays_exact():
     rows = np.concatenate([draw.integers(-50, 50, (3000, 8)), draw.integers(400, 500, (40, 8))]).astype(np.int64)
     query, loose = rows[-1], rows.astype(np.float64)
     pivots = loose[:: len(rows) // 20]
-    upper = topk.bounds(query.astype(float), loose, topk.distances(query[None, :].astype(float), pivots)[0], topk.distances(loose, pivots))
+    upper = topk.bounds(query.astype(float), loose, topk.distances(query.astype(float), pivots), np.array([topk.distances(v, pivots) for v in loose]))
     exact = rows @ query
     assert (upper >= exact).all()
     best = topk.top_scores(query, -1, np.arange(len(rows)), rows, upper, 10)
@@ -56,5 +57,31 @@ def test_huge_components_are_summed_exactly(spark):
     assert {tuple(r) for r in topk.top_k(vectors, F.col("vec_id") % 2 == 0, k=3).collect()} == plain(held, 3)
 
 
+def test_all_finite_vectors_take_part(spark):
+    big = [2.0**31, -(2.0**60), 1e300, -1e305, 1.7e308]
+    rows = [(2 * i, [0.0, float(i)]) for i in range(6)] + [(100 + i, [b, float(i)]) for i, b in enumerate(big)]
+    rows = [(i, v) for i, v in rows if i % 2 or i < 100] + [(102, [2.0**31, 5.0])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = topk.top_k(vectors, F.col("vec_id") < 100, k=4)
+    held = [(i, v) for i, v in rows]
+    expected = {r for r in plain(held, 4) if r[0] < 100}
+    assert {tuple(r) for r in found.collect()} == expected and any(r[2] >= 100 for r in expected)
+
+
+def test_a_score_beyond_a_long_is_an_error(spark):
+    vectors = spark.createDataFrame([(1, [1e300]), (2, [1.0])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|CAST_OVERFLOW"):
+        topk.top_k(vectors, F.col("vec_id") == 2).collect()
+
+
+def test_many_lengths_have_few_pivots(spark):
+    draw = random.Random(5)
+    rows = [(i, [float(draw.randrange(-9, 9)) for _ in range(1 + i // 3)]) for i in range(300)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    held = vectors.selectExpr("vec_id", "embedding as vector", "size(embedding) as dim")
+    assert len(topk.choose_pivots(held, lengths=8)) == 8
+    assert {tuple(r) for r in topk.top_k(vectors, F.col("vec_id") % 2 == 0, k=3).collect()} == plain(rows, 3)
+
+
 def test_empty_table(spark):
     assert topk.top_k(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 2 == 0).collect() == []
