@@ -14,7 +14,9 @@ is the threshold: subtrees beside the path that reach it belong to the text too.
 If the node lies in an ``article`` element, everything inside belongs to the text,
 and so do further articles, headlines of the ``main`` element around it, and
 subtrees beside it that reach the threshold; ``main`` is the border. If it lies in
-a ``main`` element only, everything inside belongs to the text.
+a ``main`` element only, everything inside belongs to the text. Without an
+``article``, the page's headline (its only ``h1`` that is not left out) belongs to
+the text wherever it stands. Elements that their own style hides are left out.
 
 Defined results: a null page is an empty one; a page without text gives an empty
 string; broken markup never fails, open elements end with the page; character
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -65,6 +68,7 @@ OWN_ARTICLES = re.compile(r"(?:^|[-_\s])(?:ads?|advert\w*|sponsor\w*|promo\w*|si
 LAYOUT = re.compile(r"(?:^|.*[-_])(?:with|without|no|has)[-_].*|.*[-_](?:open|opened|closed|collapsed|expanded|visible)", re.IGNORECASE)
 #: Percentage of the page's text outside links from which an element is no side part for its name; for OWN_ARTICLES.
 LARGE, LARGE_OWN = 50, 75
+UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.IGNORECASE)
 SIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([A-Za-z][^\s/>]*)[^>]*(?:>|\Z)|<([A-Za-z][^\s/>]*)", re.DOTALL)
@@ -110,10 +114,12 @@ def _tokens(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
             yield "text", m.group()[9:].removesuffix("]]>"), {}
 
 
-def _is_side(tag: str, attributes: dict[str, str], stack: list[tuple[str, Node]]) -> bool:
+def _is_side(tag: str, attributes: dict[str, str], opened: Counter[str]) -> bool:
     if (tag in DROPPED and tag != "form") or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
-    if tag == "header" and not any(t in ("article", "main") for t, _ in stack):
+    if tag not in ("html", "body") and UNSEEN.search(attributes.get("style", "")):
+        return True
+    if tag == "header" and not (opened["article"] or opened["main"]):
         return True
     return tag not in ("html", "body", "article", "main") and attributes.get("role", "").lower() in SIDE_ROLES
 
@@ -166,26 +172,33 @@ def parse(html: str) -> Node:
     root = Node("html", None)
     stack: list[tuple[str, Node]] = [("html", root)]  # open elements, each with its block
 
+    opened = Counter(["html"])  # how many of each are open
+
     def close(upto: int) -> None:
-        del stack[max(1, upto) :]
+        while len(stack) > max(1, upto):
+            opened[stack.pop()[0]] -= 1
+
+    def enter(tag: str, block: Node) -> None:
+        stack.append((tag, block))
+        opened[tag] += 1
 
     for kind, name, attributes in _tokens(html):
         node = stack[-1][1]
         if kind == "text":
             node.parts.append(unescape(name))
-            if any(t == "a" for t, _ in stack):
+            if opened["a"]:
                 node.link_chars += len("".join(name.split()))
         elif kind == "close":
             if name == "br":
                 node.parts.append(" ")
-            for place in range(len(stack) - 1, 0, -1):
+            for place in range(len(stack) - 1, 0, -1) if opened[name] else ():
                 if stack[place][0] == name:
                     close(place)
                     break
                 if name not in BLOCKS and stack[place][0] in BLOCKS:
                     break  # an inline end tag does not end the block around it
         else:
-            if name in ("html", "body") and (name == "html" or any(t == "body" for t, _ in stack)):
+            if name in ("html", "body") and (name == "html" or opened["body"]):
                 continue
             if name in ENDS_PARAGRAPH:
                 for place in range(len(stack) - 1, 0, -1):
@@ -205,7 +218,7 @@ def parse(html: str) -> Node:
                         if stack[-1][0] not in ended:
                             break
             node = stack[-1][1]
-            side = _is_side(name, attributes, stack)
+            side = _is_side(name, attributes, opened)
             hint = "" if side else _hint(name, attributes)
             if name in VOID:
                 node.tags += 1
@@ -213,11 +226,11 @@ def parse(html: str) -> Node:
             elif name in BLOCKS or side or hint:
                 block = Node(name, node, side, hint)
                 node.parts.append(block)
-                stack.append((name, block))
+                enter(name, block)
             else:
                 node.tags += 1
                 node.link_tags += name == "a"
-                stack.append((name, node))
+                enter(name, node)
     leave_out(root)
     return root
 
@@ -286,6 +299,11 @@ def content(root: Node) -> list[Node]:
             chosen.append(node)
         elif id(node) in on_path or article is not None:
             waiting += [p for p in reversed(node.parts) if isinstance(p, Node) and not p.side]
+    heads = [n for n in nodes if n.tag == "h1" and n.chars > 0]
+    if article is None and len(heads) == 1 and not any(n in map(id, _inside(heads[0])) for n in map(id, chosen)):
+        # The only headline of the page stands above the parts that follow it.
+        place = {id(n): k for k, n in enumerate(nodes)}
+        chosen = sorted([*chosen, heads[0]], key=lambda n: place[id(n)])
     return chosen
 
 

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -101,3 +103,17 @@ def test_further_articles_and_the_headline_of_main():
     assert main_text(f"<body>{one}{two}</body>") == texts
     comments = f"<section id=comments><article><p>{PROSE}</p></article></section>"
     assert main_text(f"<body>{one}{comments}</body>") == (PROSE * 4).strip()
+
+
+def test_hidden_styles_headline_beside_the_text_and_many_open_elements():
+    text = f"<p>{PROSE * 3}</p><p>{PROSE}</p>"
+    expected = f"{(PROSE * 3).strip()}\n{PROSE.strip()}"
+    for style in ("display:none", "color: red; display : NONE;", "visibility:hidden"):
+        hidden = f"<div style='{style}'><p>{PROSE * 9}</p><p>{PROSE * 9}</p></div>"
+        assert main_text(f"<body>{hidden}<div>{text}</div></body>") == expected
+    assert main_text(f"<body><div style='display:block'>{text}</div></body>") == expected
+    assert main_text(f"<body><div><h1>The headline</h1></div><div>{text}</div></body>") == "The headline\n" + expected
+    assert main_text(f"<body><h1>One</h1><div><h1>Other</h1></div><div>{text}</div></body>") == expected
+    started = time.process_time()
+    assert main_text("<article>" + "<b>x " * 20000 + "</article>").count("x") == 20000
+    assert time.process_time() - started < 5
