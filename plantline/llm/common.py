@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,26 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.unhex(F.md5(F.concat_ws("\x01", *parts).cast("binary")))
 
 
+def own_names(*used: str, result: tuple[str, ...] = ()):
+    """For operators on rows: columns other than ``used`` stand under reserved names inside, so that none can clash.
+
+    Columns that carry a name of the ``result`` are dropped before.
+    """
+
+    def around(operator):
+        @wraps(operator)
+        def run(docs: DataFrame, *args, **settings) -> DataFrame:
+            held = [c for c in docs.columns if c not in result or c in used]
+            names = {f"_own_{k}": c for k, c in enumerate(held) if c not in used}
+            inner = {c: k for k, c in names.items()}
+            found = operator(docs.select(*[F.col(f"`{c}`").alias(inner.get(c, c)) for c in held]), *args, **settings)
+            return found.select(*[F.col(c).alias(names.get(c, c)) for c in found.columns])
+
+        return run
+
+    return around
+
+
 def scatter(*columns: str) -> Column:
     """Non-negative long that spreads rows evenly."""
     return F.xxhash64(*columns).bitwiseAND(F.lit((1 << 62) - 1))

@@ -1,17 +1,22 @@
 """Mixing sources to target weights by a low-discrepancy schedule, in DataFrame operations only.
 
-Slot n of the mix stands at the point frac(n * golden ratio), held exactly as a
-31-bit integer (n * STEP modulo 2^31). Laid over the sources' cumulative
-targets, the point names the slot's source. Slots are ranked per source, and
-rank k takes the k-th block of that source: its documents, shuffled by a hash
-and repeated as often as the target asks, cut into blocks of equally many words.
+The mix is a row of slots of equally many words. Slot n stands at the golden-ratio
+point n * step modulo 2^m (step is 2^m / golden ratio, made odd), times the words of
+a slot: with 2^m no less than the number of slots, every place of the sources'
+cumulative targets is met once, and any run of slots is spread evenly over them.
+The place names the slot's source. Slots are ranked per source, and rank k takes
+the k-th block of that source: its documents, shuffled by a hash and repeated, cut
+into blocks of the same number of words. A source gives the words of the slots it
+has won, at most ``passes`` times its own; these are within a slot of its target. A
+source whose target is too small to win any gets one slot, of its target's words.
 
 Targets: each source's share of all words by its weight, at most ``passes``
 times its own words; the excess is shared again by weight until none is above.
 
 Defined results: a null text or one without words has size 0 and takes no words;
 sources are ordered by code point, a null source is one source and comes last;
-rows that are equal in all columns stand in the mix separately; a null doc_id is
+rows that are equal in all columns stand in the mix separately; rows that differ in
+any column are never taken for each other; a null doc_id is
 a document like any other; an empty table gives no rows; other columns pass
 through unless they carry a name of the result.
 """
@@ -20,15 +25,15 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantline.llm.common import WORD, blocks_of, row_key, stored
+from plantline.llm.common import WORD, blocks_of, own_names, row_key, stored
 from plantline.operators.ordered import running_totals
 
-POINTS = 1 << 31
-#: Odd, next to 2^31 / golden ratio: the points of any run of slots are spread evenly.
-STEP = 1327217885
+#: At least so many slots, as long as they hold a word each, and at most so many (the square of 2^m fits a long).
+LEAST_SLOTS, MOST_SLOTS = 1 << 20, 1 << 31
+GOLDEN = 0.6180339887498949
 RESULT = ("size", "source_size", "target", "taken")
 
 
@@ -67,37 +72,51 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...], passes: int) ->
     )
 
 
-def schedule(sources: DataFrame, block_words: int, slots_per_source: int) -> DataFrame:
-    """Slots of the mix: (n, skey, k), k counting the slots of each source from 0."""
+def golden_step(bits: int) -> int:
+    """Odd, next to 2^bits / golden ratio: its multiples modulo 2^bits meet every number once."""
+    return int((1 << bits) * GOLDEN) | 1
+
+
+def slot_words(total: int, block_words: int, least_slots: int = LEAST_SLOTS) -> int:
+    return max(1, min(block_words, -(-total // least_slots)), -(-total // MOST_SLOTS))
+
+
+def schedule(sources: DataFrame, block_words: int, least_slots: int = LEAST_SLOTS, step: int | None = None) -> tuple[DataFrame, int]:
+    """Slots of the mix, (n, skey, k) with k counting the slots of each source from 0, and the words of a slot."""
     spark = sources.sparkSession
     blocks = blocks_of(spark)
-    total, count = sources.agg(F.coalesce(F.sum("take"), F.lit(0)), F.count(F.lit(1))).first()
-    slots = max(-(-total // block_words), slots_per_source * count) if total else 0
-    wide = "decimal(38,0)"
-    edge = lambda c: F.floor(c.cast(wide) * POINTS / max(1, total)).cast("bigint")
-    cells = 1024
+    total = sources.agg(F.coalesce(F.sum("take"), F.lit(0))).first()[0]
+    length = slot_words(total, block_words, least_slots)
+    # As many as have their middle within the targets.
+    slots = (total + length - 1 - length // 2) // length
+    bits = max(1, (slots - 1).bit_length()) if slots else 1
+    cell_words = max(1, -(-total // 1024))
     laid = (
         running_totals(sources, [], F.substring("skey", 1, 3), [F.col("skey")], {"upto": F.col("take")})
-        .select("skey", edge(F.col("upto") - F.col("take")).alias("low"), edge(F.col("upto")).alias("high"))
+        .select("skey", (F.col("upto") - F.col("take")).alias("low"), F.col("upto").alias("high"))
         .where("high > low")
-        .withColumn(
-            "cell",
-            F.explode(F.sequence(F.floor(F.col("low") / (POINTS // cells)), F.floor((F.col("high") - 1) / (POINTS // cells)))),
-        )
+        .withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") / cell_words), F.floor((F.col("high") - 1) / cell_words))))
     )
-    points = spark.range(0, slots, 1, blocks).select(
-        F.col("id").alias("n"), F.pmod(F.pmod(F.col("id"), F.lit(POINTS)) * STEP, F.lit(POINTS)).alias("point")
-    ).withColumn("cell", F.floor(F.col("point") / (POINTS // cells)))
-    named = stored(
-        points.join(laid, "cell").where("point >= low and point < high").select("n", "skey"), "mix-slots"
+    turn = F.pmod(F.col("id") * F.lit(golden_step(bits) if step is None else step), F.lit(1 << bits))
+    points = (
+        spark.range(0, (1 << bits) if slots else 0, 1, blocks)
+        .select("id", turn.alias("place")).where(F.col("place") < slots)
+        .select(F.col("id").alias("n"), (F.col("place") * length + length // 2).alias("point"))
+        .withColumn("cell", F.floor(F.col("point") / cell_words))
     )
+    named = stored(points.join(laid, "cell").where("point >= low and point < high").select("n", "skey"), "mix-slots")
     # A source too small for any point gets one slot behind the others.
     missed = sources.where("take > 0").join(named.select("skey").distinct(), "skey", "left_anti")
-    named = named.unionByName(missed.select(F.lit(slots).cast("bigint").alias("n"), "skey"))
-    block = F.floor(F.col("n") * blocks / max(1, slots))
-    return running_totals(named, ["skey"], block, [F.col("n")], {"k": F.lit(1)}).select(
-        "n", "skey", (F.col("k") - 1).cast("bigint").alias("k")
-    )
+    named = named.unionByName(missed.select(F.lit(1 << bits).cast("bigint").alias("n"), "skey"))
+    block = F.floor(F.col("n") * blocks / (1 << bits))
+    ranked = running_totals(named, ["skey"], block, [F.col("n")], {"k": F.lit(1)})
+    return ranked.select("n", "skey", (F.col("k") - 1).cast("bigint").alias("k")), length
+
+
+def identity(docs: DataFrame) -> Column:
+    """16 bytes that only rows equal in all columns share."""
+    others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    return F.unhex(F.md5(F.concat_ws("\x01", F.hex(row_key()), F.to_json(F.struct(*others))).cast("binary"))) if others else row_key()
 
 
 def mix(
@@ -105,12 +124,14 @@ def mix(
     weights: tuple[int, ...] = (5, 2, 1),
     passes: int = 3,
     block_words: int = 4096,
-    slots_per_source: int = 64,
+    least_slots: int = LEAST_SLOTS,
+    step: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The documents with what the mix takes of each, and the mix itself.
 
     The mix has a row for each piece of a document in a slot: (n, skey, k, doc_id,
-    mix_key, first_word, words), ``first_word`` counting within the document.
+    mix_key, first_word, words), ``first_word`` counting within the document. Another
+    ``step`` than the golden ratio's gives another schedule.
     """
     spark = docs.sparkSession
     blocks = blocks_of(spark)
@@ -118,19 +139,22 @@ def mix(
     skey = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("t"))
     dealt = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = stored(
-        docs.select(*carried, n_words().alias("size"), skey.alias("skey"), dealt.alias("dealt"), row_key().alias("mix_key")),
+        docs.select(*carried, n_words().alias("size"), skey.alias("skey"), dealt.alias("dealt"), identity(docs).alias("mix_key")),
         "mix-rows",
     )
     sources = stored(
         source_targets(rows.groupBy("skey").agg(F.sum("size").alias("words")), weights, passes), "mix-targets"
     )
-    slots = stored(schedule(sources, block_words, slots_per_source), "mix-schedule")
+    scheduled, length = schedule(sources, block_words, least_slots, step)
+    slots = stored(scheduled, "mix-schedule")
     per_source = slots.groupBy("skey").agg(F.count(F.lit(1)).alias("slots"))
-    # Words of a slot: its rank times this is where its block begins.
-    length = F.ceil(F.col("take") / F.greatest(F.coalesce(F.col("slots"), F.lit(0)), F.lit(1)))
+    # A source gives the blocks of its slots; one too small for any point has its target instead of a block.
+    won = F.when((F.col("slots") == 1) & (F.col("take") <= length), F.col("take")).otherwise(
+        F.least(F.col("slots") * length, F.col("words") * passes)
+    )
     facts = stored(
         sources.join(per_source, "skey", "left").select(
-            "skey", F.col("words").alias("source_size"), "target", "take", length.alias("length")
+            "skey", F.col("words").alias("source_size"), "target", F.coalesce(won, F.lit(0)).cast("bigint").alias("take")
         ),
         "mix-facts",
     )
@@ -151,21 +175,22 @@ def mix(
         .where("start < stop")
         .withColumn(
             "k",
-            F.explode(F.sequence(F.floor(F.col("start") / F.col("length")), F.floor((F.col("stop") - 1) / F.col("length")))),
+            F.explode(F.sequence(F.floor(F.col("start") / length), F.floor((F.col("stop") - 1) / length))),
         )
     )
-    begin = F.greatest(F.col("start"), F.col("k") * F.col("length"))
-    end = F.least(F.col("stop"), (F.col("k") + 1) * F.col("length"))
+    begin = F.greatest(F.col("start"), F.col("k") * length)
+    end = F.least(F.col("stop"), (F.col("k") + 1) * length)
     pieces = cut.select(
         "skey", "place", "doc_id", "mix_key", "k", (begin - F.col("start")).alias("first_word"), (end - begin).alias("words")
     ).join(slots, ["skey", "k"])
     return laid, pieces
 
 
+@own_names("doc_id", "text", "source", result=RESULT)
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """Every row of ``docs``, without its text, with the words that the mix takes of it."""
     laid, pieces = mix(docs, **settings)
-    carried = [c for c in laid.columns if c not in ("upto", "length", "take", "dealt")]
+    carried = [c for c in laid.columns if c not in ("upto", "take", "dealt", "mix_key")]
     named = ["skey", "place"]
     taken = pieces.groupBy(*named).agg(F.sum("words").alias("taken"))
     return laid.select(*carried).join(taken, named, "left").select(
@@ -173,6 +198,7 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     )
 
 
+@own_names("doc_id", "text", "source")
 def mixed_copies(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` as the mix holds them: a row as often as it is taken, counting from half a document.
 
@@ -180,11 +206,15 @@ def mixed_copies(docs: DataFrame, **settings) -> DataFrame:
     """
     size, taken = F.col("size"), F.col("taken")
     copies = F.when(size == 0, F.lit(1)).otherwise(F.floor((taken * 2 + size) / (size * 2)))
+    laid, pieces = mix(docs, **settings)
+    words = pieces.groupBy("skey", "place").agg(F.sum("words").alias("taken"))
     counted = (
-        mixed_documents(docs, **settings).groupBy("mix_key").agg(F.sum(copies).cast("int").alias("copies")).where("copies > 0")
+        laid.select("skey", "place", "mix_key", "size").join(words, ["skey", "place"], "left")
+        .withColumn("taken", F.coalesce("taken", F.lit(0)))
+        .groupBy("mix_key").agg(F.sum(copies).cast("int").alias("copies")).where("copies > 0")
     )
     return (
-        docs.withColumn("mix_key", row_key())
+        docs.withColumn("mix_key", identity(docs))
         .dropDuplicates(["mix_key"])
         .join(counted, "mix_key")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))

@@ -31,10 +31,27 @@ WITH docs AS (
   FROM sources, level
 ), takes AS (
   SELECT *, least(CAST(floor(target + 0.5) AS BIGINT), 3 * words) AS take FROM targets
+), whole AS (
+  -- A slot holds so many words that there are about 2^20 of them, 4096 at most (below 2^43 words in all).
+  SELECT CAST(greatest(1, least(4096, ceil(sum(take) / 1048576))) AS BIGINT) AS length FROM takes
+), edges AS (
+  SELECT *, CAST(sum(take) OVER (ORDER BY source NULLS LAST) AS BIGINT) AS high, CAST(sum(take) OVER () AS BIGINT) AS total FROM takes, whole
+), slots AS (
+  -- Every place of the cumulative targets is met by one slot, whatever the order; the middle of the slot names its source.
+  SELECT p * length + length // 2 AS point
+  FROM (SELECT DISTINCT length, total FROM edges) AS e, range(0, CAST((total + length - 1 - length // 2) // length AS BIGINT)) AS r(p)
+), counted AS (
+  SELECT e.source, e.words, e.target, e.take, e.length, count(s.point) AS won
+  FROM edges e LEFT JOIN slots s ON s.point >= e.high - e.take AND s.point < e.high
+  GROUP BY ALL
+), taken AS (
+  SELECT source, words, target,
+         CASE WHEN won <= 1 AND take <= length THEN take ELSE least(greatest(won, least(take, 1)) * length, 3 * words) END AS take
+  FROM counted
 ), laid AS (
   SELECT d.doc_id, d.size, t.words AS source_size, t.target, t.take,
          CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.dealt, d.doc_id, d.size, d.text ROWS UNBOUNDED PRECEDING) AS BIGINT) - d.size AS start
-  FROM docs d JOIN takes t ON d.source IS NOT DISTINCT FROM t.source
+  FROM docs d JOIN taken t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,
        CAST(CASE WHEN source_size = 0 THEN 0

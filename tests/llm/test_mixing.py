@@ -42,7 +42,7 @@ def test_targets_stop_at_three_passes(spark):
 def test_slots_are_spread_evenly_and_pieces_fill_them(spark):
     rows = [(i, f"s{i % 4}", "w " * (1 + i * 7 % 40)) for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
-    laid, pieces = mix(docs, block_words=20)
+    laid, pieces = mix(docs, block_words=20, least_slots=100)
     held = pieces.collect()
     of_slot, source_of = Counter(), {}
     for p in held:
@@ -60,6 +60,33 @@ def test_slots_are_spread_evenly_and_pieces_fill_them(spark):
     assert all(of_slot[n] == largest[s] for n, s in source_of.items() if n < max(of_slot) - 40)
 
 
+def test_the_schedule_decides_what_is_taken(spark):
+    rows = [(i, f"s{i % 4}", "w " * (1 + i * 7 % 40)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    for length in (1, 20, 64):
+        found = mixed_documents(docs, block_words=length, least_slots=1).groupBy("source").agg({"taken": "sum", "target": "max"}).collect()
+        off = [(r["sum(taken)"], r["max(target)"]) for r in found]
+        assert all(abs(taken - target) <= length + 0.5 for taken, target in off), (length, off)
+    # Steps that meet few places of the targets give the sources other shares.
+    for step in (0, 1 << 12):
+        found = mixed_documents(docs, step=step).groupBy("source").agg({"taken": "sum", "target": "max"}).collect()
+        assert any(abs(r["sum(taken)"] - r["max(target)"]) > r["max(target)"] / 4 for r in found)
+
+
+def test_rows_of_two_sources_and_inner_names(spark):
+    names = ["skey", "dealt", "mix_key", "place", "upto", "length", "take", "copies", "copy", "turn", "start", "stop", "k", "row_key"]
+    schema = "doc_id bigint, text string, source string, " + ", ".join(f"{n} string" for n in names)
+    held = [(1, "one two three", s, *[f"{n} of {s}" for n in names]) for s in ("a", "a", "b", None)]
+    docs = spark.createDataFrame(held, schema)
+    found = mixed_documents(docs)
+    assert found.columns == ["doc_id", "source", *names, "size", "source_size", "target", "taken"]
+    assert sorted(map(tuple, found.select("source", *names).collect()), key=str) == sorted([(r[2], *r[3:]) for r in held], key=str)
+    copies = mixed_copies(docs)
+    assert copies.columns == docs.columns
+    kept = {tuple(r) for r in copies.collect()}
+    assert kept <= set(held) and {r[2] for r in kept} == {"a", "b", None}
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     found = mixed_documents(docs).collect()
