@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantline.llm.common import pieces, row_key, shingle_hashes, stored, words
+from plantline.llm.common import own_names, pieces, row_key, shingle_hashes, stored, words
 
 #: Words of a document in one piece.
 PIECE = 4096
@@ -109,6 +109,7 @@ def leaks(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int = 80
     return found.join(named, "set_id").select("row_key", "doc_id", "item_id", (F.col("held") / F.col("n")).alias("containment"))
 
 
+@own_names("doc_id", "text")
 def without_leaks(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
     """``docs`` without the documents that hold a test item."""
     bad = stored(leaks(docs, items, **settings).select("row_key").distinct(), "leak-rows")

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantline.llm.common import row_key, stored
+from plantline.llm.common import own_names, row_key, stored
 
 BANDS, ROWS = 32, 5
 FUNCTIONS = BANDS * ROWS // 2
@@ -349,6 +349,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rounds
     return linked.select(*columns).unionByName(empty.select(*columns)).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+@own_names("doc_id", "text")
 def without_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with one row of each component: of its least doc_id, and among rows of that id the least by checksum.
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantline.llm.common import stored
+from plantline.llm.common import own_names, stored
 
 # The patterns of the base scan, by kind, in order of rank.
 KINDS = ("assign", "access", "hex", "random")
@@ -221,6 +221,7 @@ def read_samples(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return read.where("counts is null").drop("counts"), balanced(counts)
 
 
+@own_names("doc_id", "text", result=RESULT[:5])
 def find_secrets(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Each document, without its text, with counts by pattern, the digest of their spans, and all spans."""
     read, counts = read_samples(docs)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantline.llm.common import blocks_of, scatter, stored
+from plantline.llm.common import blocks_of, own_names, scatter, stored
 from plantline.operators.ordered import running_totals
 
 #: Bytes that each row counts besides its text.
@@ -110,6 +110,7 @@ def _packer(shards: int, rooms: list[int]):
     return pack
 
 
+@own_names("doc_id", "text", result=RESULT)
 def shard_documents(docs: DataFrame, shards: int = 40, fine: int = 250) -> DataFrame:
     """Every row of ``docs`` with its shard and its gapless slot there; the text itself is left out."""
     spark = docs.sparkSession

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from plantline.llm import leaks, licenses
+from plantline.llm import leaks, licenses, neardup
 from plantline.llm.queries import op7_leaks, op8_licenses
 from tests.llm.helpers import no_documents, odd_documents, plain_words, shingles
 
@@ -138,3 +138,11 @@ def test_short_items_are_found_inside_documents(spark, monkeypatch):
     pairs = {(r.doc_id, r.item_id) for r in found.collect()}
     inside = {i for i, _ in docs if i < 999}
     assert {p for p in pairs if p[1] < 4} == {(i, 1) for i in inside} | {(i, 3) for i in inside | {999}}
+
+
+def test_stages_give_back_a_column_named_row_key(spark):
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, text, "a"), (2, text, "b"), (3, "some other words that stand alone here", "c")], "doc_id bigint, text string, row_key string")
+    items = spark.createDataFrame([(7, "words that stand alone here")], "item_id bigint, text string")
+    assert sorted(map(tuple, leaks.without_leaks(docs, items).collect())) == [(1, text, "a"), (2, text, "b")]
+    assert sorted((r.doc_id, r.row_key) for r in neardup.without_near_duplicates(docs).collect()) == [(1, "a"), (3, "c")]

@@ -114,3 +114,11 @@ def test_keys_of_all_kinds_are_found_at_two_sizes_of_corpus(spark, copies):
 def test_a_sample_counts_once():
     text = "token=" + "0123456789abcdef" * 2
     assert secrets.samples_by_kind(text, secrets.base_spans(text)) == {2: ["0123456789abcdef" * 2]}
+
+
+def test_inner_names_come_back_as_they_were(spark):
+    names = ["base", "candidates", "values", "counts"]
+    docs = spark.createDataFrame([(1, "password=abcdefgh12", *names), (2, None, *names)], "doc_id bigint, text string, base string, candidates string, values string, counts string")
+    found = secrets.find_secrets(docs)
+    assert set(names) <= set(found.columns)
+    assert sorted((r.doc_id, r.n_assign, *[r[n] for n in names]) for r in found.collect()) == [(1, 1, *names), (2, 0, *names)]

@@ -83,3 +83,13 @@ def test_odd_rows(spark, shards):
 
 def test_empty_table(spark):
     assert shard_documents(no_documents(spark)).collect() == []
+
+
+def test_inner_names_come_back_as_they_were(spark):
+    names = ["key", "piece", "number", "_block", "most", "part", "bytes", "rows", "piece_rows", "_own_0", "order"]
+    docs = spark.createDataFrame(
+        [(k, "x" * (k % 5), *[f"{n}{k}" for n in names]) for k in range(60)], "doc_id bigint, text string, " + ", ".join(f"`{n}` string" for n in names)
+    )
+    found = shard_documents(docs, shards=4)
+    assert found.columns == ["doc_id", *names, "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    assert all(r[n] == f"{n}{r.doc_id}" for r in found.collect() for n in names)
