@@ -23,6 +23,7 @@ from plantline.sources.warehouse import (
     Warehouse,
     current,
     current_or,
+    latest_number,
     publish,
     replace_partitions,
     write_ledger,
@@ -214,12 +215,13 @@ def merge_entities(
             validation.rejected(entity, classified, seq, raw.columns, INGEST_RUN, batch_id), f"{output}/rejected"
         )
         table, merge = upserts[entity]
+        base = latest_number(spark, output, table)
         target = current_or(spark, output, table, warehouse[table])
         accepted = validation.accepted(entity, classified)
         if table == ORDERS:
-            merge_orders(target, accepted, output, as_of)
+            merge_orders(target, accepted, output, as_of, base)
         else:
-            publish(merge(target, accepted, as_of), output, table, version_of(as_of))
+            publish(merge(target, accepted, as_of), output, table, version_of(as_of), base=base)
         one = validation.batch_counts(entity, classified)
         counts = one if counts is None else counts.unionByName(one)
     return counts
@@ -243,17 +245,19 @@ def touched_months(stored: DataFrame, batch: DataFrame) -> list[str]:
     return sorted(r[0] for r in matched.unionByName(new).distinct().collect())
 
 
-def merge_orders(target: DataFrame, batch: DataFrame, output: str, as_of: date | datetime) -> list[str]:
+def merge_orders(
+    target: DataFrame, batch: DataFrame, output: str, as_of: date | datetime, base: int | None = None
+) -> list[str]:
     """Merge an order batch into the orders stored by month below ``output``; returns the months written.
 
-    The first merge publishes the whole table by month. Later ones read and replace
+    The first merge publishes the whole table by month, after version ``base`` if given. Later ones read and replace
     only the months that the batch touches; the merge is the same upsert. A run that
     fails while it replaces months is repaired by running the same batch again.
     """
     month = month_of("order_date").alias(ORDER_MONTH)
     if ORDER_MONTH not in target.columns:
         merged = upsert_purchase_orders(target, batch, as_of)
-        publish(merged.select("*", month), output, ORDERS, version_of(as_of), by=ORDER_MONTH)
+        publish(merged.select("*", month), output, ORDERS, version_of(as_of), by=ORDER_MONTH, base=base)
         return []
     batch = cut_lineage(batch)
     months = touched_months(target, batch)

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantline.functions.exprs import clip, risk_tier, round_half_even
@@ -16,6 +16,7 @@ from plantline.risk import evaluation
 from plantline.risk.features import MATERIAL_FEATURES, SUPPLIER_FEATURES, material_features, supplier_features
 from plantline.risk.scoring import stockout_rule_score, supplier_rule_score
 from plantline.session import cut_lineage
+from plantline.sources.warehouse import current_path, publish_files
 
 # Forest sizes, depths, learning rate and seed.
 SEED = 42
@@ -36,13 +37,22 @@ def _fit(training: DataFrame, names: tuple[str, ...], learner) -> PipelineModel:
     return Pipeline(stages=[assembler, learner]).fit(training)
 
 
+def supplier_rows(t: Tables) -> DataFrame:
+    """Features with their rule score."""
+    return _numeric(supplier_features(t), SUPPLIER_FEATURES, supplier_rule_score())
+
+
+def material_rows(t: Tables) -> DataFrame:
+    return _numeric(material_features(t), MATERIAL_FEATURES, stockout_rule_score())
+
+
 def supplier_training(t: Tables) -> DataFrame:
-    """Features with their rule score, fixed in shared storage: training passes over them once per tree."""
-    return cut_lineage(_numeric(supplier_features(t), SUPPLIER_FEATURES, supplier_rule_score()))
+    """Fixed in shared storage: training passes over the rows once per tree."""
+    return cut_lineage(supplier_rows(t))
 
 
 def material_training(t: Tables) -> DataFrame:
-    return cut_lineage(_numeric(material_features(t), MATERIAL_FEATURES, stockout_rule_score()))
+    return cut_lineage(material_rows(t))
 
 
 def fit_supplier_model(training: DataFrame, **settings) -> PipelineModel:
@@ -61,6 +71,20 @@ def fit_stockout_model(training: DataFrame, **settings) -> PipelineModel:
     return _fit(training, MATERIAL_FEATURES, learner)
 
 
+def store_model(model: PipelineModel, spark: SparkSession, root: str, name: str, version: str) -> str:
+    """Publish a fitted model as a new version; returns the path of its files."""
+    return publish_files(spark, root, name, version, lambda path: model.write().save(path))
+
+
+def stored_model(spark: SparkSession, root: str, name: str, names: tuple[str, ...]) -> PipelineModel:
+    """The model published last. It must have been fitted to the features ``names``, in this order."""
+    model = PipelineModel.load(current_path(spark, root, name))
+    fitted = [c.removeprefix("x_") for c in model.stages[0].getInputCols()]
+    if fitted != list(names):
+        raise ValueError(f"{name} below {root} was fitted to {fitted}, not to {list(names)}")
+    return model
+
+
 def score(model: PipelineModel, training: DataFrame) -> DataFrame:
     """The feature rows with the raw model ``score``."""
     scored = model.transform(training)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import time
-from collections.abc import Iterator, Mapping
+import uuid
+from collections.abc import Callable, Iterator, Mapping
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -229,29 +231,127 @@ def ledger_flows(tables: Mapping[str, DataFrame], since: date | None = None) ->
 
 
 VERSION = "published_at bigint, path string, business string"
+#: A claim without a version after it, left by a writer that died, counts no more after this time.
+CLAIM_SECONDS = 900
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer has published since the version that a table was made from."""
 
 
 def _versions(root: str, name: str) -> str:
     return f"{root}/_versions/{name}"
 
 
-def publish(df: DataFrame, root: str, name: str, version: str, by: str | None = None) -> None:
-    """Add a version of a table, partitioned ``by`` a column if given; ``version`` is its business time, kept for information.
+def _claims(root: str, name: str) -> str:
+    return f"{root}/_claims/{name}"
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path, as Spark itself sees them."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def _claim(spark: SparkSession, root: str, name: str, after: int) -> None:
+    """Take the right to publish the version that follows ``after``; of several writers only one gets it."""
+    files, path = _files(spark, f"{_claims(root, name)}/{after:020d}")
+    if files.exists(path) and time.time() - files.getFileStatus(path).getModificationTime() / 1000 > CLAIM_SECONDS:
+        files.delete(path, False)
+    try:
+        files.create(path, False).close()
+    except Py4JJavaError as problem:
+        if not files.exists(path):
+            raise
+        raise ConcurrentWrite(f"another writer publishes {name} below {root}") from problem
+
+
+def latest_number(spark: SparkSession, root: str, name: str) -> int:
+    """Number of the current version, to be given to ``publish`` as ``base``; 0 if there is none."""
+    latest = _latest(spark, root, name)
+    return 0 if latest is None else latest.published_at
+
+
+def publish_files(
+    spark: SparkSession, root: str, name: str, version: str, write: Callable[[str], None], base: int | None = None
+) -> str:
+    """Add a version whose files ``write`` puts below the path given to it; returns that path.
 
     Readers see it once its row in the version log is written, after all its
     files. The version published last is the current one, whatever its business
-    time, so that a later backfill or rerun is seen.
+    time, so that a later backfill or rerun is seen. With ``base``, the version must
+    directly follow that one: if another writer was faster, ConcurrentWrite is raised
+    and the files written are removed, so that nobody's rows are lost unseen.
+    """
+    path = f"{root}/{name}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    write(path)
+    try:
+        after = latest_number(spark, root, name)
+        if base is not None and after != base:
+            raise ConcurrentWrite(f"{name} below {root} has been published since version {base}")
+        _claim(spark, root, name, after)
+    except ConcurrentWrite:
+        files, mine = _files(spark, path)
+        files.delete(mine, True)
+        raise
+    row = (max(time.time_ns(), after + 1), path, version)
+    spark.createDataFrame([row], VERSION).coalesce(1).write.mode("append").parquet(_versions(root, name))
+    return path
+
+
+def publish(df: DataFrame, root: str, name: str, version: str, by: str | None = None, base: int | None = None) -> None:
+    """Add a version of a table, partitioned ``by`` a column if given; ``version`` is its business time, kept for information.
+
+    A table that is made from its current version is published with the number of that version as ``base``.
     """
-    spark, now = df.sparkSession, time.time_ns()
-    latest = _latest(spark, root, name)
-    number = now if latest is None else max(now, latest.published_at + 1)
-    path = f"{root}/{name}/{number:020d}"
-    if by is None:
-        df.write.parquet(path)
-    else:
-        # Large partitions get several writers, small ones share one.
-        df.repartitionByRange(by, *[c for c in df.columns if c != by][:1]).write.partitionBy(by).parquet(path)
-    spark.createDataFrame([(number, path, version)], VERSION).coalesce(1).write.mode("append").parquet(_versions(root, name))
+
+    def write(path: str) -> None:
+        if by is None:
+            df.write.parquet(path)
+        else:
+            # Large partitions get several writers, small ones share one.
+            df.repartitionByRange(by, *[c for c in df.columns if c != by][:1]).write.partitionBy(by).parquet(path)
+
+    publish_files(df.sparkSession, root, name, version, write, base)
+
+
+def remove_old_versions(spark: SparkSession, root: str, name: str, keep: int = 2, grace_seconds: float = 7 * 86400) -> list[str]:
+    """Delete the files of versions that nobody can be reading any more; returns their paths.
+
+    The last ``keep`` versions stay. An older one goes once it has been replaced for
+    ``grace_seconds``: a reader that opened it while it was current has had that long.
+    Files of writers that never published go when they are that old too. The version
+    log keeps its rows.
+    """
+    try:
+        log = spark.read.schema(VERSION).parquet(_versions(root, name)).orderBy("published_at").collect()
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log = []
+    now = time.time()
+    # A version is out of use from the publication of the next one on.
+    old = {
+        row.path.rpartition("/")[2]
+        for row, following in zip(log[:-keep] if keep else log, log[1:], strict=False)
+        if now - following.published_at / 1e9 >= grace_seconds
+    }
+    known = {row.path.rpartition("/")[2] for row in log}
+    files, folder = _files(spark, f"{root}/{name}")
+    removed = []
+    for found in files.listStatus(folder) if files.exists(folder) else []:
+        last = found.getPath().getName()
+        stray = last not in known and now - _last_change(files, found) >= grace_seconds
+        if last in old or stray:
+            files.delete(found.getPath(), True)
+            removed.append(f"{root}/{name}/{last}")
+    return sorted(removed)
+
+
+def _last_change(files, found) -> float:
+    """Seconds of the newest change of a folder or of anything directly below it."""
+    times = [found.getModificationTime(), *[f.getModificationTime() for f in files.listStatus(found.getPath())]]
+    return max(times) / 1000
 
 
 def _latest(spark: SparkSession, root: str, name: str) -> Row | None:
@@ -265,12 +365,17 @@ def _latest(spark: SparkSession, root: str, name: str) -> Row | None:
     return log.agg(F.max_by(F.struct("*"), "published_at").alias("last")).first().last
 
 
-def current(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The version published last; files of other versions are not opened."""
+def current_path(spark: SparkSession, root: str, name: str) -> str:
+    """Where the files of the version published last are."""
     latest = _latest(spark, root, name)
     if latest is None:
         raise LookupError(f"{name} has not been published below {root}")
-    return spark.read.parquet(latest.path)
+    return latest.path
+
+
+def current(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The version published last; files of other versions are not opened."""
+    return spark.read.parquet(current_path(spark, root, name))
 
 
 def replace_partitions(df: DataFrame, root: str, name: str, by: str) -> None:
@@ -279,12 +384,10 @@ def replace_partitions(df: DataFrame, root: str, name: str, by: str) -> None:
     ``df`` must not read the version it goes to; store it first. A reader that has
     listed a replaced partition before must read again.
     """
-    latest = _latest(df.sparkSession, root, name)
-    if latest is None:
-        raise LookupError(f"{name} has not been published below {root}")
+    path = current_path(df.sparkSession, root, name)
     (
         df.repartitionByRange(by, *[c for c in df.columns if c != by][:1])
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(latest.path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
     )
 
 

@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from plantline.plans import daily
+from plantline.risk import models
 from plantline.sources.star import StarSchema
 from plantline.sources.warehouse import current
 
@@ -31,6 +32,35 @@ def test_scoring_twice_a_day_updates_and_next_day_adds(spark, star, tmp_path):
     assert current(spark, out, daily.ALERTS).count() == 2 * alerts
 
 
+def test_stored_models_score_without_fitting(spark, star, tmp_path, monkeypatch):
+    out = str(tmp_path)
+    with pytest.raises(LookupError):
+        daily.run_scoring(star, spark, out, AT, refit=False)
+    daily.run_scoring(star, spark, out, AT, **SMALL)
+
+    def scores(table, key, column):
+        return {(r[key], r[column], r.risk_tier) for r in current(spark, out, table).collect()}
+
+    tables = ((daily.SUPPLIER_SCORES, "supplier_id", "risk_score"), (daily.STOCKOUT_SCORES, "material_id", "stockout_risk_score"))
+    fitted = [scores(*t) for t in tables]
+    for name in ("fit_supplier_model", "fit_stockout_model"):
+        monkeypatch.setattr(models, name, lambda *_, **__: pytest.fail("fitted again"))
+    assert daily.run_scoring(star, spark, out, AT + timedelta(hours=1), refit=False) == {"suppliers": 10, "materials": 200}
+    assert [scores(*t) for t in tables] == fitted
+    with pytest.raises(ValueError, match="fitted to"):
+        models.stored_model(spark, out, daily.SUPPLIER_MODEL, models.MATERIAL_FEATURES)
+
+
+def test_old_versions_of_a_job_are_removed(spark, star, tmp_path):
+    out = str(tmp_path)
+    for hours in (0, 1, 2):
+        daily.run_scoring(star, spark, out, AT + timedelta(hours=hours), refit=not hours, **SMALL)
+    assert daily.remove_old_versions(spark, out, keep=1) == []
+    # Three versions of two score tables and the alerts, one version of each model.
+    assert len(daily.remove_old_versions(spark, out, keep=1, grace_seconds=0)) == 6
+    assert daily.run_scoring(star, spark, out, AT, refit=False)["suppliers"] == 10
+
+
 def test_quality_run_raises_each_alert_once(spark, star, tmp_path):
     out = str(tmp_path)
     first = daily.run_quality(star, spark, out, "run-1", AT)

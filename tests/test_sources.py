@@ -1,3 +1,5 @@
+import os
+import time
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -12,16 +14,20 @@ from plantline.plans import analytics, loading, quality
 from plantline.sources import csv_files
 from plantline.sources.star import AS_OF, StarSchema
 from plantline.sources.warehouse import (
+    CLAIM_SECONDS,
     LEDGER,
     QUARTER,
     TOTALS,
+    ConcurrentWrite,
     Warehouse,
     current,
     current_or,
+    latest_number,
     ledger_between,
     ledger_flows,
     publish,
     quarters_between,
+    remove_old_versions,
     write_ledger,
 )
 
@@ -78,6 +84,50 @@ def test_an_older_business_date_published_later_is_seen(spark, tmp_path):
     assert current(spark, root, "m").count() == 3
 
 
+def test_a_writer_that_was_overtaken_is_refused(spark, tmp_path):
+    root = str(tmp_path)
+    base = latest_number(spark, root, "m")
+    assert base == 0
+    publish(spark.range(3), root, "m", "first", base=base)
+    with pytest.raises(ConcurrentWrite):
+        publish(spark.range(9), root, "m", "overtaken", base=base)
+    assert current(spark, root, "m").count() == 3
+    # The files of the refused version are gone.
+    assert len(list((tmp_path / "m").iterdir())) == 1
+    publish(spark.range(4), root, "m", "second", base=latest_number(spark, root, "m"))
+    assert current(spark, root, "m").count() == 4
+
+
+def test_two_writers_at_once_do_not_both_follow_a_version(spark, tmp_path):
+    root = str(tmp_path)
+    publish(spark.range(3), root, "m", "first")
+    claim = tmp_path / "_claims" / "m" / f"{latest_number(spark, root, 'm'):020d}"
+    claim.touch()
+    with pytest.raises(ConcurrentWrite):
+        publish(spark.range(9), root, "m", "second")
+    assert current(spark, root, "m").count() == 3
+    # The claim of a writer that died counts no more after a while.
+    os.utime(claim, (time.time() - 2 * CLAIM_SECONDS,) * 2)
+    publish(spark.range(9), root, "m", "second")
+    assert current(spark, root, "m").count() == 9
+
+
+def test_only_versions_out_of_use_are_removed(spark, tmp_path):
+    root = str(tmp_path)
+    assert remove_old_versions(spark, root, "m") == []
+    for n in (1, 2, 3, 4):
+        publish(spark.range(n), root, "m", str(n))
+    opened = current(spark, root, "m")
+    spark.range(9).write.parquet(f"{root}/m/stray")
+    # Within the grace time a reader may still be at work, and a writer may still publish.
+    assert remove_old_versions(spark, root, "m", keep=1, grace_seconds=3600) == []
+    assert len(remove_old_versions(spark, root, "m", keep=2, grace_seconds=0)) == 3
+    assert opened.count() == 4 and current(spark, root, "m").count() == 4
+    assert len(list((tmp_path / "m").iterdir())) == 2
+    remove_old_versions(spark, root, "m", keep=1, grace_seconds=0)
+    assert current(spark, root, "m").count() == 4 and len(list((tmp_path / "m").iterdir())) == 1
+
+
 def test_only_a_table_never_published_is_replaced(spark, tmp_path):
     root, other = str(tmp_path), spark.range(1)
     assert current_or(spark, root, "m", other).count() == 1
