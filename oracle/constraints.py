@@ -99,3 +99,27 @@ CHECKS = {
     "fact_production_schedules": {"planned_quantity": "planned_quantity > 0"},
     "fact_bom_allocations": {"required_quantity": "required_quantity > 0"},
 }
+# Tables of a running deployment.
+OPERATIONAL_KEYS = {
+    "fact_supplier_risk_scores": ("supplier_id", "score_date"),
+    "fact_stockout_risk_scores": ("material_id", "score_date"),
+    "supply_alerts": ("alert_id",),
+    "corrective_actions": ("action_id",),
+    "etl_pipeline_audit": ("run_id",),
+}
+OPERATIONAL_REFERENCES = {
+    "fact_supplier_risk_scores": {"supplier_id": ("dim_supplier", "supplier_id")},
+    "fact_stockout_risk_scores": {"material_id": ("dim_material", "material_id")},
+    "corrective_actions": {"alert_id": ("supply_alerts", "alert_id")},
+    "data_quality_test_results": {"run_id": ("etl_pipeline_audit", "run_id")},
+}
+OPERATIONAL_NOT_NULL = {
+    "etl_pipeline_audit": ("pipeline_name", "start_time", "status"),
+    "etl_rejected_records": ("pipeline_name", "source_table", "payload", "error_code", "error_reason"),
+    "data_quality_test_results": ("test_name", "target_table", "assertion_type", "status", "severity"),
+    "fact_supplier_risk_scores": ("risk_score", "risk_tier", "top_contributing_factors", "explanation_text"),
+    "fact_stockout_risk_scores": ("stockout_risk_score", "risk_tier", "current_stock", "top_contributing_factors",
+                                  "explanation_text"),
+    "supply_alerts": ("alert_type", "severity", "title", "message", "entity_type", "entity_id", "status"),
+    "corrective_actions": ("title", "description", "assigned_to", "priority", "status"),
+}

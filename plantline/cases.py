@@ -7,11 +7,12 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantline.functions.exprs import clip, round_half_even
 from plantline.operators import validation
 from plantline.operators.calendar import calendar_of
 from plantline.operators.merge import new_movements
-from plantline.plans import incidents, loading, marts, quality, serving
-from plantline.risk import evaluation, features
+from plantline.plans import daily, incidents, loading, marts, quality, serving
+from plantline.risk import evaluation, features, models
 from plantline.session import cut_lineage, scratch_path
 from plantline.sources import csv_files
 from plantline.sources.raw_batches import BATCHES, SEQ
@@ -19,6 +20,7 @@ from plantline.sources.star import StarSchema
 from plantline.sources.warehouse import LEDGER, QUARTER, Warehouse, current, ledger_between, quarter_of, write_ledger
 
 RUN, BATCH = "INBOUND_LOAD", "BATCH-1"
+RUN_KNOWN = "run-1"
 # Declared ledger range of the test tables: six quarters.
 DECLARED = (date(2000, 1, 1), date(2001, 7, 1))
 STARTED, ENDED = datetime(2001, 5, 15, 6, 0), datetime(2001, 5, 15, 6, 4)
@@ -264,6 +266,85 @@ def dq_constraints(star: StarSchema, as_of: date) -> DataFrame:
     return quality.declared_constraints(star, days)
 
 
+def operational_tables(star: StarSchema, as_of: date) -> Warehouse:
+    """The operational tables of a deployment, with faults planted by id, stored and read back.
+
+    Every fifth supplier is scored twice and every seventh score is of an unknown
+    supplier; every third stockout score lacks its tier; every fourth day alert has
+    no title, and every sixth comes twice; an action belongs to each day alert, every
+    fifth of them to an alert that is not there; the quality results name two runs,
+    of which one is in the audit trail.
+    """
+    number = F.regexp_extract("alert_id", r"-(\d+)-", 1).cast("bigint")
+    scores = incidents.supplier_score_rows(suppliers(star), as_of)
+    twice = scores.where("supplier_id % 5 = 0")
+    unknown = F.when(F.col("supplier_id") % 7 == 0, F.col("supplier_id") + 100_000_000).otherwise(F.col("supplier_id"))
+    stock = incidents.stockout_score_rows(materials(star), as_of).withColumn(
+        "risk_tier", F.when(F.col("material_id") % 3 != 0, F.col("risk_tier"))
+    )
+    raised = cut_lineage(day_alerts(star, as_of))
+    kept = raised.withColumn("title", F.when(number % 4 != 0, F.col("title")))
+    opened = raised.select(
+        F.concat(F.lit("CA-"), "alert_id").alias("action_id"),
+        F.when(number % 5 != 0, F.col("alert_id")).otherwise(F.concat(F.lit("NO-"), "alert_id")).alias("alert_id"),
+        F.col("title"), F.col("message").alias("description"), F.lit(incidents.LEAD).alias("assigned_to"),
+        F.col("severity").alias("priority"), F.lit("OPEN").alias("status"),
+    )
+    results = quality.suite(star, as_of, RUN_KNOWN).unionByName(quality.suite(star, as_of, "run-unknown"))
+    tables = {
+        "fact_supplier_risk_scores": scores.unionByName(twice).withColumn("supplier_id", unknown),
+        "fact_stockout_risk_scores": stock,
+        "supply_alerts": kept.unionByName(kept.where(number % 6 == 0)),
+        "corrective_actions": opened,
+        "data_quality_test_results": results,
+        "etl_pipeline_audit": loading.audit_start(star.spark, RUN_KNOWN, RUN, BATCH, STARTED),
+        "etl_rejected_records": dead_letters(star, as_of),
+    }
+    return Warehouse.load(tables, star.spark, scratch_path(star.spark, "operational"))
+
+
+def dq_operational_constraints(star: StarSchema, as_of: date) -> DataFrame:
+    stored = operational_tables(star, as_of)
+    parents = {n: star[n] for n in ("dim_supplier", "dim_material")}
+    return quality.operational_constraints({**stored, **parents})
+
+
+# Mean distance from the rule score, in points, that a fitted model must keep.
+MODEL_GAP = 5.0
+FEWER_TREES = {"boosting": {"maxIter": 20}, "forest": {"numTrees": 20}}
+
+
+def stored_models(star: StarSchema, as_of: date) -> DataFrame:
+    """Both models fitted and stored, then loaded in their place: rows, rows whose served score is in bounds, has the
+    tier of its score, and is the same before and after storing, and whether the scores are close to the rule."""
+    root = scratch_path(star.spark, "models")
+    sides = {
+        "supplier": (models.supplier_training(star), "supplier_id", models.SUPPLIER_FEATURES, daily.SUPPLIER_MODEL),
+        "material": (models.material_training(star), "material_id", models.MATERIAL_FEATURES, daily.STOCKOUT_MODEL),
+    }
+    fitted = daily.fit_models(sides["supplier"][0], sides["material"][0], root, "1", **FEWER_TREES)
+    result = None
+    for (entity, (rows, key, names, model)), fresh in zip(sides.items(), fitted, strict=True):
+        loaded = models.stored_model(star.spark, root, model, names)
+        both = models.served(models.score(loaded, rows), key).join(
+            models.score(fresh, rows).select(key, F.col("score").alias("before")), key
+        )
+        served = F.col("risk_score")
+        # Stated again, apart from the function that gives the tiers.
+        tier = F.when(served < 40, "LOW").when(served < 60, "MEDIUM").when(served < 75, "HIGH")
+        same = served == round_half_even(clip(F.col("before"), 0.0, 100.0), 1)
+        one = both.agg(
+            F.lit(entity).alias("entity"),
+            F.count(F.lit(1)).alias("n"),
+            F.count_if((served >= 0) & (served <= 100)).alias("in_bounds"),
+            F.count_if(F.col("risk_tier") == tier.otherwise("CRITICAL")).alias("tiers"),
+            F.count_if(same).alias("same_when_loaded"),
+            (F.avg(F.abs(served - F.col("rule_score"))) <= MODEL_GAP).alias("close_to_rule"),
+        )
+        result = one if result is None else result.unionByName(one)
+    return result
+
+
 # The row floors a generated data set must reach.
 MINIMUM_ROWS = {
     "dim_supplier": 100, "dim_material": 1000, "fact_purchase_orders": 5000, "fact_inventory_movements": 100_000,

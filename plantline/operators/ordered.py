@@ -136,11 +136,14 @@ def dense_ranks(
 
     Ties collapse first, so only distinct sort keys are ranked and then joined
     back. Without ``block`` the number of distinct sort keys per group must be
-    bounded by their domain.
+    bounded by their domain. Building the plan runs no job; ``df`` is used twice,
+    with the same columns, so that both uses take the same exchanges below it.
     """
     columns = [c for c, _ in order]
     sort = [F.col(c).asc() if up else F.col(c).desc() for c, up in order]
-    distinct = df.select(*keys, *columns).distinct()
+    # As above, naming every column keeps the exchanges the same for both uses.
+    every = F.max(F.xxhash64(*df.columns).bitwiseAND(F.lit(0)))
+    distinct = df.groupBy(*keys, *columns).agg(every.alias("_every")).where("_every = 0").drop("_every")
     if block is None:
         ranked = distinct.withColumn(name, F.dense_rank().over(Window.partitionBy(*keys).orderBy(*sort)))
     else:

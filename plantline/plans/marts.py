@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from plantline.functions.exprs import quotient, ratio, real_ratio, sample_std
 from plantline.operators.grid import pair_with_all
 from plantline.operators.ordered import dense_ranks
-from plantline.session import cut_lineage
 from plantline.sources.warehouse import ledger_flows
 
 Tables = Mapping[str, DataFrame]
@@ -89,14 +88,14 @@ def supplier_figures(t: Tables) -> DataFrame:
 def supplier_performance(t: Tables, as_of: date | None = None) -> DataFrame:
     """The supplier figures with the rank in the category, by punctuality and then defect rate.
 
-    Ranking reads the figures twice. They are one row per supplier, so they are
-    stored first and the facts behind them are scanned once.
+    Ranking uses the figures twice; both uses take the same exchanges, so that the
+    facts behind them are scanned once.
     """
     # Blocks of one millionth of the punctuality range; within a block the defect
     # rate is a whole number of at most a million, so blocks stay small.
     block = F.floor((1.0 - F.col("_share")) * 1_000_000)
     ranked = dense_ranks(
-        cut_lineage(supplier_figures(t)), ["supplier_category"], [("_share", False), ("overall_defect_ppm", True)], "category_rank", block
+        supplier_figures(t), ["supplier_category"], [("_share", False), ("overall_defect_ppm", True)], "category_rank", block
     )
     return ranked.drop("_share")
 

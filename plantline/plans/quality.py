@@ -292,6 +292,16 @@ OPERATIONAL_REFERENCES = {
     "corrective_actions": {"alert_id": ("supply_alerts", "alert_id")},
     "data_quality_test_results": {"run_id": ("etl_pipeline_audit", "run_id")},
 }
+OPERATIONAL_NOT_NULL = {
+    "etl_pipeline_audit": ("pipeline_name", "start_time", "status"),
+    "etl_rejected_records": ("pipeline_name", "source_table", "payload", "error_code", "error_reason"),
+    "data_quality_test_results": ("test_name", "target_table", "assertion_type", "status", "severity"),
+    "fact_supplier_risk_scores": ("risk_score", "risk_tier", "top_contributing_factors", "explanation_text"),
+    "fact_stockout_risk_scores": ("stockout_risk_score", "risk_tier", "current_stock", "top_contributing_factors",
+                                  "explanation_text"),
+    "supply_alerts": ("alert_type", "severity", "title", "message", "entity_type", "entity_id", "status"),
+    "corrective_actions": ("title", "description", "assigned_to", "priority", "status"),
+}
 NOT_NULL = {
     "dim_defect_type": ("name", "severity", "category"),
     "dim_factory": ("name",),
@@ -331,25 +341,54 @@ CHECKS = {
 
 
 def declared_constraints(t: Tables, calendar: DataFrame) -> DataFrame:
-    """Every declared primary key, unique column, reference, NOT NULL and CHECK, with its violations."""
+    """Every declared primary key, unique column, reference, NOT NULL and CHECK, with its violations.
+
+    Operational tables are checked as far as ``t`` holds them.
+    """
     tables = {**{name: t[name] for name in t}, "dim_date": calendar}
     keys = [KeyCheck(n, c, "PRIMARY_KEY") for n, c in {**PRIMARY_KEYS, "dim_date": ("date_key",)}.items()]
     keys += [KeyCheck(n, c) for n, c in UNIQUE_COLUMNS.items()]
-    keys += [KeyCheck(n, c) for n, c in OPERATIONAL_KEYS.items() if n in tables]
-    references = {**REFERENCES, **{n: r for n, r in OPERATIONAL_REFERENCES.items() if n in tables}}
+    required = {c.table: c.columns for c in keys if c.kind == "PRIMARY_KEY"}
+    checked = _constraints(tables, keys, REFERENCES, required, NOT_NULL, CHECKS)
+    if any(n in tables for n in OPERATIONAL_NOT_NULL):
+        checked = checked.unionByName(_operational(tables))
+    return with_status(checked)
+
+
+def operational_constraints(t: Tables) -> DataFrame:
+    """The constraints of the operational tables that ``t`` holds, with their violations."""
+    return with_status(_operational(t))
+
+
+def _operational(tables: Tables) -> DataFrame:
+    def held(declared: dict) -> dict:
+        return {n: c for n, c in declared.items() if n in tables}
+
+    keys = [KeyCheck(n, c) for n, c in held(OPERATIONAL_KEYS).items()]
+    return _constraints(
+        tables, keys, held(OPERATIONAL_REFERENCES), held(OPERATIONAL_KEYS), held(OPERATIONAL_NOT_NULL), {}
+    )
+
+
+def _constraints(
+    tables: Tables, keys: list[KeyCheck], references: dict, required: dict, not_null: dict, checks: dict
+) -> DataFrame:
+    """One plan for the keys, one for the references, and one per table for its row rules.
+
+    ``required`` names the key columns: they must not be null either, as null keys
+    do not clash and the key checks pass over them.
+    """
     foreign = [
         Reference(child, column, parent, key)
         for child, columns in references.items()
         for column, (parent, key) in columns.items()
         if parent in tables
     ]
-    # A key column must not be null either: null keys do not clash, so the key checks pass over them.
-    required = {c.table: c.columns for c in keys if c.kind == "PRIMARY_KEY"}
-    required |= {n: c for n, c in OPERATIONAL_KEYS.items() if n in tables}
-    rules = []
-    for name in sorted({*required, *NOT_NULL, *CHECKS}):
-        columns = (*required.get(name, ()), *NOT_NULL.get(name, ()))
+    parts = [duplicate_keys(tables, keys)] if keys else []
+    parts += [broken_references(tables, foreign)] if foreign else []
+    for name in sorted({*required, *not_null, *checks}):
+        columns = (*required.get(name, ()), *not_null.get(name, ()))
         found = {f"nn_{name}_{c}": ("NOT_NULL", F.col(c).isNull()) for c in columns}
-        found |= {f"ck_{name}_{c}": ("CHECK", ~F.expr(e)) for c, e in CHECKS.get(name, {}).items()}
-        rules.append(row_rules(tables[name], name, found))
-    return with_status(union_all([duplicate_keys(tables, keys), broken_references(tables, foreign), *rules]))
+        found |= {f"ck_{name}_{c}": ("CHECK", ~F.expr(e)) for c, e in checks.get(name, {}).items()}
+        parts.append(row_rules(tables[name], name, found))
+    return union_all(parts)

@@ -106,6 +106,7 @@ register("dq_suite_stored", cases.dq_suite_stored)
 register("dq_alerts", cases.dq_alerts)
 register("dq_dataset_contracts", cases.dq_contracts)
 register("dq_constraints", cases.dq_constraints)
+register("dq_operational_constraints", cases.dq_operational_constraints)
 
 register("risk_supplier_features", features.supplier_features)
 register("risk_material_features", cases.material_feature_rows)
@@ -121,6 +122,7 @@ register("risk_supplier_narrative", cases.supplier_narratives)
 register("risk_stockout_narrative", cases.stockout_narratives)
 register("risk_supplier_model", models.supplier_model_scores)
 register("risk_stockout_model", models.stockout_model_scores)
+register("risk_stored_models", cases.stored_models)
 register("eval_regression", cases.eval_regression)
 register("eval_classification", cases.eval_classification)
 register("eval_roc_auc", cases.eval_roc_auc)

@@ -91,21 +91,22 @@ def score(model: PipelineModel, training: DataFrame) -> DataFrame:
     return scored.drop("x", *[c for c in scored.columns if c.startswith("x_")])
 
 
-def _served(scored: DataFrame, key: str) -> DataFrame:
-    served = round_half_even(clip(F.col("score"), 0.0, 100.0), 1)
-    return scored.select(key, served.alias("risk_score"), round_half_even(F.col("label"), 1).alias("rule_score")).select(
+def served(scored: DataFrame, key: str) -> DataFrame:
+    """The score as it is shown, rounded and within bounds, beside the rule score, with its tier."""
+    shown = round_half_even(clip(F.col("score"), 0.0, 100.0), 1)
+    return scored.select(key, shown.alias("risk_score"), round_half_even(F.col("label"), 1).alias("rule_score")).select(
         "*", risk_tier(F.col("risk_score")).alias("risk_tier")
     )
 
 
 def supplier_model_scores(t: Tables, as_of: date | None = None) -> DataFrame:
     training = supplier_training(t)
-    return _served(score(fit_supplier_model(training), training), "supplier_id")
+    return served(score(fit_supplier_model(training), training), "supplier_id")
 
 
 def stockout_model_scores(t: Tables, as_of: date | None = None) -> DataFrame:
     training = material_training(t)
-    return _served(score(fit_stockout_model(training), training), "material_id")
+    return served(score(fit_stockout_model(training), training), "material_id")
 
 
 def evaluation_report(t: Tables, as_of: date | None = None) -> DataFrame:

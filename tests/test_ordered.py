@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from plantline.operators.grid import pair_with_all
 from plantline.operators.ordered import dense_ranks, exact_median, running_totals, running_totals_in_one_scan, trailing_sums
-from plantline.plans import comparisons
+from plantline.plans import comparisons, marts, trends
+from plantline.sources.star import StarSchema
 
 
 @pytest.fixture(scope="module")
@@ -55,6 +56,24 @@ def test_dense_ranks(rows, blocked):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+@pytest.mark.parametrize("plans", [(marts.supplier_figures, marts.supplier_performance), (trends.rolled, trends.ranked_months)])
+def test_ranks_are_planned_without_a_job_and_scan_facts_once(spark, plans):
+    star = StarSchema(spark, "/root/testdata/sf0.001")
+    rows, ranked = plans
+    rows(star)  # reads the schemas of its tables
+    spark.sparkContext.setJobGroup("planning", "no job while a plan is built")
+    df = ranked(star)
+    spark.sparkContext.setJobGroup("running", "")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == 0
+
+    def fact_scans(frame):
+        frame.collect()
+        final = frame._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
+        return sum("FileScan parquet" in line and "lineitem" in line for line in final.splitlines())
+
+    assert fact_scans(df) == fact_scans(rows(star)) > 0
+
+
 @pytest.mark.parametrize("n", [1, 2, 7, 500, 501])
 def test_exact_median(spark, n):
     rng = random.Random(n)
