@@ -60,7 +60,7 @@ def supplier_features(t: Tables, as_of: date | None = None) -> DataFrame:
 
 
 def material_features(t: Tables, as_of: date | None = None) -> DataFrame:
-    ledger = ledger_flows(t).groupBy("material_id").agg(F.sum("quantity").alias("stock"), F.sum("outflow").alias("consumed"))
+    ledger = ledger_flows(t, cell=["material_id"]).groupBy("material_id").agg(F.sum("quantity").alias("stock"), F.sum("outflow").alias("consumed"))
     allocations = t["fact_bom_allocations"].groupBy("material_id").agg(
         F.count("allocation_id").alias("allocations"),
         F.sum("required_quantity").alias("total_required_units"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import time
 import uuid
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import date
 
 from py4j.protocol import Py4JJavaError
@@ -207,8 +207,8 @@ class Warehouse(Mapping[str, DataFrame]):
         return stored
 
 
-def ledger_flows(tables: Mapping[str, DataFrame], since: date | None = None) -> DataFrame:
-    """(material_id, warehouse_id, quantity, outflow, recent): parts that add up to the flows of each cell.
+def ledger_flows(tables: Mapping[str, DataFrame], since: date | None = None, cell: Sequence[str] = tuple(CELL)) -> DataFrame:
+    """(``cell``, quantity, outflow, recent): parts that add up to the flows of each cell.
 
     ``outflow`` is null without any; ``recent`` is the outflow from ``since`` on. A
     stored warehouse gives the totals of quarters that are up to date and end by
@@ -223,8 +223,8 @@ def ledger_flows(tables: Mapping[str, DataFrame], since: date | None = None) ->
         closed = [q for q in tables.summed_quarters() if since is None or (q != "default" and quarter_end(q) <= since)]
         if closed:
             rows = rows.where(~F.col(QUARTER).isin(*closed))
-            stored = tables.totals(closed).select(*CELL, "quantity", "outflow", F.lit(None).cast("bigint").alias("recent"))
-    moved = rows.groupBy(*CELL).agg(
+            stored = tables.totals(closed).select(*cell, "quantity", "outflow", F.lit(None).cast("bigint").alias("recent"))
+    moved = rows.groupBy(*cell).agg(
         F.sum(quantity).alias("quantity"), F.sum(out).alias("outflow"), F.sum(recent).cast("bigint").alias("recent")
     )
     return moved if stored is None else moved.unionByName(stored)
