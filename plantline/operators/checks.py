@@ -1,8 +1,8 @@
 """Generic table checks. Each returns (constraint_name, target_table, constraint_type, violations) rows.
 
-Checks of one kind are gathered into one plan: all row rules of a table share a
-scan, and all keys (or references) share one aggregation keyed by the check's
-name, so the number of shuffles does not grow with the number of checks.
+Checks are gathered into one plan: all checks of a table share a scan, and all
+keys and references share one aggregation, so neither the number of scans nor of
+shuffles grows with the number of checks.
 """
 
 from __future__ import annotations
@@ -12,8 +12,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 COLUMNS = ["constraint_name", "target_table", "constraint_type", "violations"]
+#: Rules of a table that share a bit mask.
+MASK_BITS = 60
+#: References that are counted side by side in one row of a key.
+SLOTS = 2
 
 
 @dataclass(frozen=True)
@@ -77,71 +82,114 @@ def covers_years(df: DataFrame, table: str, day: str, years: Sequence[int]) -> D
     )
 
 
-def _zero_rows(df: DataFrame, names: Sequence[tuple[str, str, str]]) -> DataFrame:
-    return df.sparkSession.createDataFrame(list(names), "constraint_name string, target_table string, constraint_type string")
+def _zero_rows(df: DataFrame, names: Sequence[tuple]) -> DataFrame:
+    return df.sparkSession.createDataFrame(
+        list(names), "constraint_name string, target_table string, constraint_type string, _domain int, _slot int, _bit bigint"
+    )
+
 
+def _text(df: DataFrame, column: str) -> Column:
+    """The value as text; a date as its day number, which is shorter."""
+    value = F.col(column)
+    return (F.unix_date(value) if isinstance(df.schema[column].dataType, T.DateType) else value).cast("string")
+
+
+def _key(tables: Mapping[str, DataFrame], name: str, columns: tuple[str, ...], kind: type | None) -> tuple[Column, Column]:
+    """(number, text) of a key, of which one is null; both are null if a column is."""
+    df, no_number, no_text = tables[name], F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    if kind is not None:
+        value = F.col(columns[0])
+        return (F.unix_date(value) if kind is T.DateType else value).cast("bigint"), no_text
+    if len(columns) == 1:
+        return no_number, F.col(columns[0]).cast("string")
+    parts = [_text(df, c) for c in columns]
+    # Each part says how long it is, so that no two keys give the same text.
+    return no_number, F.concat(*[piece for p in parts for piece in (F.length(p).cast("string"), F.lit(":"), p)])
+
+
+def _number_kind(tables: Mapping[str, DataFrame], members: Sequence[tuple[str, tuple[str, ...]]]) -> type | None:
+    """IntegralType or DateType if a key and all that refers to it are of that type and a single column."""
+    kinds = {type(tables[name].schema[c].dataType) for name, columns in members for c in columns}
+    if any(len(columns) > 1 for _, columns in members):
+        return None
+    if kinds == {T.DateType}:
+        return T.DateType
+    return T.IntegralType if all(issubclass(k, T.IntegralType) for k in kinds) else None
+
+
+def table_checks(
+    tables: Mapping[str, DataFrame],
+    keys: Sequence[KeyCheck] = (),
+    references: Sequence[Reference] = (),
+    rules: Mapping[str, Mapping[str, tuple[str, Column]]] | None = None,
+) -> DataFrame:
+    """All checks in one plan that scans each table once and exchanges each key once.
+
+    A key and the references to it are one domain. Every row gives its keys, the
+    values of its references, and the broken rules of its table as one bit mask;
+    they are counted by domain and value before and after a single exchange. A
+    key that occurs n times has n - 1 surplus rows, and the references to a value
+    that is no key are broken. Nulls clash with nothing and refer to nothing.
+    """
+    rules = rules or {}
+    referring: dict[tuple[str, tuple[str, ...]], list[Reference]] = {(c.table, c.columns): [] for c in keys}
+    for r in references:
+        referring.setdefault((r.parent, (r.key,)), []).append(r)
+    # Counters make exchanged rows wide, so a key with many references is several domains of a few each.
+    domains = [
+        (parent, columns, held[at : at + SLOTS]) for (parent, columns), held in referring.items() for at in range(0, max(len(held), 1), SLOTS)
+    ]
+    number = {(parent, columns): i for i, (parent, columns, _) in reversed(list(enumerate(domains)))}
+    emitted: dict[str, list[Column]] = {}
+    names: list[tuple] = [(c.name, c.table, c.kind, number[c.table, c.columns], 0, None) for c in keys]
 
-def _with_zeros(found: DataFrame, names: Sequence[tuple[str, str, str]]) -> DataFrame:
-    return _zero_rows(found, names).join(found, "constraint_name", "left").select(
-        *COLUMNS[:3], F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations")
+    def emit(table: str, domain: int, slot: int, value: Column, text: Column) -> None:
+        row = F.struct(
+            F.lit(domain).alias("_domain"), F.lit(slot).alias("_slot"), value.alias("_number"), text.alias("_text")
+        )
+        emitted.setdefault(table, []).append(F.when(value.isNotNull() | text.isNotNull(), row))
+
+    for domain, (parent, columns, held) in enumerate(domains):
+        kind = _number_kind(tables, [(parent, columns), *[(r.table, (r.column,)) for r in held]])
+        emit(parent, domain, 0, *_key(tables, parent, columns, kind))
+        for slot, r in enumerate(held, 1):
+            emit(r.table, domain, slot, *_key(tables, r.table, (r.column,), kind))
+            names.append((r.name, r.table, "FOREIGN_KEY", domain, slot, None))
+    domain = first_rule = len(domains)
+    for table, held in rules.items():
+        for at in range(0, len(held), MASK_BITS):
+            some = list(held.items())[at : at + MASK_BITS]
+            mask = sum((F.when(bad, F.lit(1 << bit)).otherwise(0) for bit, (_, (_, bad)) in enumerate(some)), F.lit(0).cast("bigint"))
+            emit(table, domain, 0, F.nullif(mask, F.lit(0).cast("bigint")), F.lit(None).cast("string"))
+            names += [(name, table, kind, domain, 0, 1 << bit) for bit, (name, (kind, _)) in enumerate(some)]
+            domain += 1
+
+    rows = union_all([tables[t].select(F.explode(F.array(*made)).alias("r")).select("r.*") for t, made in emitted.items()])
+    slots = range(1 + max((len(held) for _, _, held in domains), default=0))
+    counted = rows.where("_domain is not null").groupBy("_domain", "_number", "_text").agg(
+        *[F.count_if(F.col("_slot") == k).alias(f"_n{k}") for k in slots]
+    )
+    # Rules are told by their masks, of which few occur; what is left of the other domains is one row each.
+    is_rule = F.col("_domain") >= first_rule
+    surplus = F.when(is_rule, F.col("_n0")).otherwise(F.greatest(F.col("_n0") - 1, F.lit(0)))
+    found = counted.groupBy("_domain", F.when(is_rule, F.col("_number")).alias("_mask")).agg(
+        F.array(
+            F.sum(surplus), *[F.sum(F.when(F.col("_n0") == 0, F.col(f"_n{k}")).otherwise(0)) for k in slots if k]
+        ).alias("_found")
+    )
+    every = _zero_rows(rows, names)
+    told = F.col("_bit").isNull() | (F.col("_mask").bitwiseAND(F.col("_bit")) != 0)
+    violations = F.when(told, F.get("_found", F.col("_slot")))
+    return every.join(found, "_domain", "left").groupBy(*COLUMNS[:3]).agg(
+        F.coalesce(F.sum(violations), F.lit(0)).cast("bigint").alias("violations")
     )
 
 
 def duplicate_keys(tables: Mapping[str, DataFrame], checks: Sequence[KeyCheck]) -> DataFrame:
     """Surplus rows per key check. Null keys do not clash, as in SQL."""
-    def key(check: KeyCheck) -> Column:
-        if len(check.columns) == 1:
-            return F.col(check.columns[0]).cast("string")
-        return F.to_json(F.struct(*check.columns))
-
-    tagged = [
-        tables[c.table]
-        .dropna(subset=list(c.columns))
-        .select(F.lit(c.name).alias("constraint_name"), key(c).alias("_key"))
-        for c in checks
-    ]
-    surplus = (
-        union_all(tagged)
-        .groupBy("constraint_name", "_key")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1")
-        .groupBy("constraint_name")
-        .agg(F.sum(F.col("_n") - 1).alias("violations"))
-    )
-    return _with_zeros(surplus, [(c.name, c.table, c.kind) for c in checks])
+    return table_checks(tables, keys=checks)
 
 
 def broken_references(tables: Mapping[str, DataFrame], checks: Sequence[Reference]) -> DataFrame:
-    """Child rows whose parent is missing; null references are allowed.
-
-    A child table is scanned once for all its references, its references are
-    counted per value before the join, and a hot value is one row by then.
-    """
-    by_child: dict[str, list[Reference]] = {}
-    for check in checks:
-        by_child.setdefault(check.table, []).append(check)
-
-    def values(child: str, wanted: list[Reference]) -> DataFrame:
-        slots = F.array(*[
-            F.struct(
-                F.lit(c.name).alias("constraint_name"),
-                F.lit(f"{c.parent}.{c.key}").alias("_parent"),
-                F.col(c.column).cast("string").alias("_key"),
-            )
-            for c in wanted
-        ])
-        return tables[child].select(F.explode(slots).alias("s")).select("s.*").where("_key is not null")
-
-    used = (
-        union_all([values(child, wanted) for child, wanted in by_child.items()])
-        .groupBy("constraint_name", "_parent", "_key")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    parents = union_all([
-        tables[parent].select(F.lit(f"{parent}.{key}").alias("_parent"), F.col(key).cast("string").alias("_key"))
-        for parent, key in sorted({(c.parent, c.key) for c in checks})
-    ])
-    broken = used.join(parents, ["_parent", "_key"], "left_anti").groupBy("constraint_name").agg(
-        F.sum("_n").alias("violations")
-    )
-    return _with_zeros(broken, [(c.name, c.table, "FOREIGN_KEY") for c in checks])
+    """Child rows whose parent is missing; null references are allowed."""
+    return table_checks(tables, references=checks)

@@ -14,11 +14,11 @@ from plantline.functions.exprs import fixed_text, round_half_even
 from plantline.operators.checks import (
     KeyCheck,
     Reference,
-    broken_references,
     covers_years,
     duplicate_keys,
     minimum_rows,
     row_rules,
+    table_checks,
     union_all,
 )
 from plantline.operators.validation import TIERS
@@ -373,7 +373,7 @@ def _operational(tables: Tables) -> DataFrame:
 def _constraints(
     tables: Tables, keys: list[KeyCheck], references: dict, required: dict, not_null: dict, checks: dict
 ) -> DataFrame:
-    """One plan for the keys, one for the references, and one per table for its row rules.
+    """One plan for the keys, the references and the row rules of all tables.
 
     ``required`` names the key columns: they must not be null either, as null keys
     do not clash and the key checks pass over them.
@@ -384,11 +384,9 @@ def _constraints(
         for column, (parent, key) in columns.items()
         if parent in tables
     ]
-    parts = [duplicate_keys(tables, keys)] if keys else []
-    parts += [broken_references(tables, foreign)] if foreign else []
+    rules = {}
     for name in sorted({*required, *not_null, *checks}):
         columns = (*required.get(name, ()), *not_null.get(name, ()))
         found = {f"nn_{name}_{c}": ("NOT_NULL", F.col(c).isNull()) for c in columns}
-        found |= {f"ck_{name}_{c}": ("CHECK", ~F.expr(e)) for c, e in checks.get(name, {}).items()}
-        parts.append(row_rules(tables[name], name, found))
-    return union_all(parts)
+        rules[name] = found | {f"ck_{name}_{c}": ("CHECK", ~F.expr(e)) for c, e in checks.get(name, {}).items()}
+    return table_checks(tables, keys, foreign, rules)
