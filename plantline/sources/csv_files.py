@@ -48,14 +48,18 @@ def read_text_batch(spark: SparkSession, path: str, seq: str) -> DataFrame | Non
     return lines.withColumn(seq, place)
 
 
-def write_csv(tables: Mapping[str, DataFrame], folder: str) -> None:
+def write_csv(tables: Mapping[str, DataFrame], folder: str, compression: str | None = None) -> None:
+    """One folder of CSV parts per table; ``compression`` is a codec that Spark's readers know by the name of the file."""
     for name, df in tables.items():
-        df.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}.csv")
+        writer = df.write.mode("overwrite").option("header", True)
+        if compression:
+            writer = writer.options(**{"compression": compression, "zlib.compress.level": "BEST_SPEED"})
+        writer.csv(f"{folder}/{name}.csv")
 
 
 def roundtrip(tables: Mapping[str, DataFrame], spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Write tables as CSV and read them back with their own types."""
-    write_csv(tables, folder)
+    """Write tables as CSV and read them back with their own types. The files are only read here, so they are packed."""
+    write_csv(tables, folder, compression="gzip")
     return {
         name: spark.read.schema(_nullable(df.schema)).options(**OPTIONS).csv(f"{folder}/{name}.csv")
         for name, df in tables.items()

@@ -347,3 +347,12 @@ def test_totals_of_closed_quarters_replace_their_scan(spark, tmp_path):
     assert stored.refresh_totals() == ["2000_q1"] and cells(stored) == again
     changed = set(files_below(tmp_path / TOTALS)) ^ set(before)
     assert {f.split("/")[0] for f in changed} == {f"{QUARTER}=2000_q1"}
+
+
+def test_roundtrip_packs_its_files(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("id", "concat('PO-', id, ' \\'a\\', \"b\"') as name", "if(id % 3 = 0, null, date'2001-05-15') as day")
+    back = csv_files.roundtrip({"x": rows}, spark, str(tmp_path / "packed"))["x"]
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr)
+    csv_files.write_csv({"x": rows}, str(tmp_path / "plain"))
+    size = lambda name: sum(f.stat().st_size for f in (tmp_path / name / "x.csv").glob("part-*"))
+    assert size("packed") * 3 < size("plain")
