@@ -276,13 +276,15 @@ def operational_tables(star: StarSchema, as_of: date) -> Warehouse:
     of which one is in the audit trail.
     """
     number = F.regexp_extract("alert_id", r"-(\d+)-", 1).cast("bigint")
-    scores = incidents.supplier_score_rows(suppliers(star), as_of)
+    # Features and the suite are read several times, so they are stored first.
+    scored, stocked = cut_lineage(suppliers(star)), cut_lineage(materials(star))
+    scores = incidents.supplier_score_rows(scored, as_of)
     twice = scores.where("supplier_id % 5 = 0")
     unknown = F.when(F.col("supplier_id") % 7 == 0, F.col("supplier_id") + 100_000_000).otherwise(F.col("supplier_id"))
-    stock = incidents.stockout_score_rows(materials(star), as_of).withColumn(
+    stock = incidents.stockout_score_rows(stocked, as_of).withColumn(
         "risk_tier", F.when(F.col("material_id") % 3 != 0, F.col("risk_tier"))
     )
-    raised = cut_lineage(day_alerts(star, as_of))
+    raised = cut_lineage(incidents.scoring_alerts(scored, stocked, as_of))
     kept = raised.withColumn("title", F.when(number % 4 != 0, F.col("title")))
     opened = raised.select(
         F.concat(F.lit("CA-"), "alert_id").alias("action_id"),
@@ -290,7 +292,8 @@ def operational_tables(star: StarSchema, as_of: date) -> Warehouse:
         F.col("title"), F.col("message").alias("description"), F.lit(incidents.LEAD).alias("assigned_to"),
         F.col("severity").alias("priority"), F.lit("OPEN").alias("status"),
     )
-    results = quality.suite(star, as_of, RUN_KNOWN).unionByName(quality.suite(star, as_of, "run-unknown"))
+    known = cut_lineage(quality.suite(star, as_of, RUN_KNOWN))
+    results = known.unionByName(known.withColumn("run_id", F.lit("run-unknown")))
     tables = {
         "fact_supplier_risk_scores": scores.unionByName(twice).withColumn("supplier_id", unknown),
         "fact_stockout_risk_scores": stock,
@@ -606,7 +609,8 @@ def snapshot(star: StarSchema, as_of: date) -> DataFrame:
         "actions": serving.list_actions(opened),
         "dq_results": serving.list_quality_results(quality.suite(star, as_of, "run-1", ENDED)),
         "audit": serving.list_runs(load_audit(star, as_of)),
-        "rejects": serving.list_rejects(dead_letters(star, as_of).withColumn("rejected_at", F.lit(ENDED))),
+        # Sorting reads the rejects twice, to sample and to write them.
+        "rejects": serving.list_rejects(cut_lineage(dead_letters(star, as_of)).withColumn("rejected_at", F.lit(ENDED))),
     }
     folder = scratch_path(star.spark, "snapshot")
     serving.export_snapshot(lists, folder)

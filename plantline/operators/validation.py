@@ -252,7 +252,10 @@ def classify(entity: str, raw: DataFrame, seq: str) -> DataFrame:
     spec = ENTITIES[entity]
     batch = with_all_fields(raw, spec)
     rows = checked(batch, spec)
-    claimed = rows.groupBy(spec.key).agg(F.min(F.when(F.col("_problem") == "", F.col(seq))).alias("_claimed_at"))
+    # A key that occurs once is no duplicate of its own row: only the others are joined back.
+    claimed = rows.groupBy(spec.key).agg(
+        F.min(F.when(F.col("_problem") == "", F.col(seq))).alias("_claimed_at"), F.count(F.lit(1)).alias("_rows")
+    ).where("_rows > 1 and _claimed_at is not null").drop("_rows")
     duplicate = F.col(seq) > F.col("_claimed_at")
     invalid = F.col("_problem") != ""
     return rows.join(claimed, spec.key, "left").select(

@@ -214,7 +214,8 @@ def list_runs(audit: DataFrame) -> DataFrame:
 
 
 def list_rejects(rejects: DataFrame) -> DataFrame:
-    return rejects.orderBy(F.desc("rejected_at"), "source_table")
+    """Newest first. The rejects of a run share time and table, so the payload parts them among tasks."""
+    return rejects.orderBy(F.desc("rejected_at"), "source_table", "payload")
 
 
 def list_quality_results(results: DataFrame) -> DataFrame:

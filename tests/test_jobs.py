@@ -1,10 +1,13 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from plantline.plans import daily
+from plantline import cases
+from plantline.operators import validation
+from plantline.plans import daily, serving
 from plantline.risk import models
-from plantline.sources.star import StarSchema
+from plantline.sources.star import AS_OF, StarSchema
 from plantline.sources.warehouse import current
 
 AT = datetime(2001, 5, 15, 6)
@@ -68,3 +71,37 @@ def test_quality_run_raises_each_alert_once(spark, star, tmp_path):
     assert first.count() == 7 and failed > 0
     daily.run_quality(star, spark, out, "run-2", AT + timedelta(days=1))
     assert current(spark, out, daily.ALERTS).count() == failed
+
+
+def test_operational_tables_compute_features_and_suite_once(spark, monkeypatch):
+    calls = []
+    for module, name in ((cases, "suppliers"), (cases, "materials"), (cases.quality, "suite")):
+        plain = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, _plain=plain, _name=name, **k: calls.append(_name) or _plain(*a, **k))
+    tables = cases.operational_tables(StarSchema(spark, "/root/testdata/sf0.001"), AS_OF)
+    assert sorted(calls) == ["materials", "suite", "suppliers"]
+    runs = [r.run_id for r in tables["data_quality_test_results"].select("run_id").collect()]
+    assert sorted(runs) == [cases.RUN_KNOWN] * 7 + ["run-unknown"] * 7
+
+
+def test_rejects_of_one_run_are_sorted_by_several_tasks(spark):
+    rows = spark.range(20_000).selectExpr(
+        "'raw_x' as source_table", "concat('{\"id\": ', id, '}') as payload", "timestamp'2001-05-15 06:04:00' as rejected_at"
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = serving.list_rejects(rows).select(F.spark_partition_id().alias("task")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert tasks > 1
+
+
+def test_only_repeated_keys_are_joined_back(spark):
+    """Duplicates are found as before when most keys occur once, some several times, some only in invalid rows."""
+    rows = [("S1", "TIER_1", 1), ("S2", "x", 2), ("S2", "TIER_1", 3), ("S2", "TIER_1", 4), ("S3", "x", 5), ("S3", "x", 6), (None, "TIER_1", 7)]
+    rest = {f.name: F.lit("1") for f in validation.ENTITIES["suppliers"].fields if f.name not in ("supplier_id", "tier")}
+    raw = spark.createDataFrame(rows, "supplier_id string, tier string, seq int").withColumns(rest)
+    classified = validation.classify("suppliers", raw, "seq")
+    found = {r.seq: r.error_code for r in classified.select("seq", "error_code").collect()}
+    bad, twice = validation.ERR_SCHEMA, validation.ERR_DUPLICATE
+    assert found == {1: None, 2: bad, 3: None, 4: twice, 5: bad, 6: bad, 7: bad}
