@@ -89,3 +89,14 @@ def test_extra_columns_may_have_any_name(spark):
 
 def test_no_documents(spark):
     assert alignment.align_tokenizers(no_documents(spark), *FILES).collect() == []
+
+
+def test_places_are_one_number():
+    """Document and byte are one key, as joins and groups by two columns take about twice the time."""
+    import pyarrow as pa
+
+    spelled = pa.array([b" a", b"bc", b"d"], pa.binary())
+    found = alignment._ends(pa.array([[0, 1], [], [2, 0, 1]], pa.list_(pa.int32())), spelled)
+    document = 1 << alignment.PLACE_BITS
+    assert found.column_names == ["place", "id", "at"]
+    assert found["place"].to_pylist() == [2, 4, 2 * document + 1, 2 * document + 3, 2 * document + 5]
