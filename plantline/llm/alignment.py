@@ -7,6 +7,10 @@ finds the ends that both tokenizers share. The id pairs that end there are
 counted per block with ``Table.group_by``; Spark merges these partial counts by
 pair and hands each block the corpus-wide counts of the pairs that it holds.
 
+Pairs are rows of their own, and the links of a block's documents are one packed
+value, so that no task, reader or writer holds more than a block as objects,
+however many blocks a file or a partition has.
+
 Defined results: a text that is null or empty, or whose tokens of either kind
 don't spell the text with a leading space byte by byte, has no tokens, counts of
 zero and an empty ``groups_sha256``; rows of equal doc_id, or without one, keep
@@ -37,10 +41,8 @@ STEP = 1 << 17
 #: Bits of a place that hold the byte within the document.
 PLACE_BITS = 40
 
-BLOCKS = (
-    "block bigint, docs array<struct<doc_id:bigint,n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint,groups_sha256:string>>, "
-    "pairs array<struct<a:int,b:int,n:bigint>>, links array<struct<doc:int,pair:int,n:bigint>>"
-)
+#: A pair of a block (pos, a, b, n); or, without pos, the block's documents and their links (doc, pair, n), packed.
+BLOCKS = "block bigint, pos int, a int, b int, n bigint, docs binary, links binary"
 RESULT = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
 
 Encode = Callable[[list[str]], list[list[int]]]
@@ -126,11 +128,16 @@ def align(a: pa.ListArray, b: pa.ListArray, spelled_a: pa.Array, spelled_b: pa.A
     both = left.rename_columns(["place", "a", "a_at"]).join(
         right.rename_columns(["place", "b", "b_at"]), ["place"], join_type="inner", use_threads=False
     )
-    cuts = both.group_by(["place"], use_threads=False).aggregate([("a_at", "max"), ("b_at", "max")]).sort_by("place")
-    docs = cuts["place"].to_numpy() >> PLACE_BITS
+    places = both["place"].to_numpy()
+    order = np.argsort(places, kind="stable")
+    places = places[order]
+    # The rows of a place stand together; its last tokens end the group.
+    firsts = np.flatnonzero(np.diff(places, prepend=-1))
+    docs = places[firsts] >> PLACE_BITS
     sides = []
-    for ids, at in ((a, "a_at_max"), (b, "b_at_max")):
-        starts = np.concatenate([[0], cuts[at].to_numpy() + 1])
+    for ids, at in ((a, "a_at"), (b, "b_at")):
+        lasts = np.maximum.reduceat(both[at].to_numpy()[order], firsts) if firsts.size else firsts
+        starts = np.concatenate([[0], lasts + 1])
         sides.append(_joined(ids.flatten().cast(pa.string()), starts, ","))
     groups = pc.binary_join_element_wise(*sides, "|")
     counts = np.bincount(docs, minlength=len(a))
@@ -161,6 +168,17 @@ def _batched(texts: list[str]) -> Iterator[list[str]]:
         yield held
 
 
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(value: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(value.as_buffer()).read_all()
+
+
 def _block(number: int, doc_ids: list[int | None], texts: list[str], loaded: tuple) -> pa.RecordBatch:
     encode_a, spelled_a, encode_b, spelled_b = loaded
     n = len(texts)
@@ -193,20 +211,12 @@ def _block(number: int, doc_ids: list[int | None], texts: list[str], loaded: tup
         pairs = pa.table({"a": (named >> 32).astype(np.int32), "b": (named & 0xFFFFFFFF).astype(np.int32), "n": total})
         links = pa.table({"doc": kept[link >> 32].astype(np.int32), "pair": pair, "n": times})
 
-    docs = pa.StructArray.from_arrays(
-        [pa.array(doc_ids, pa.int64()), *map(pa.array, out.values()), pa.array(digests)], [*(["doc_id"]), *out, "groups_sha256"]
-    )
-
-    def one(rows: pa.StructArray) -> pa.ListArray:
-        return pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
-
-    def structs(table: pa.Table) -> pa.StructArray:
-        columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in table.columns]
-        return pa.StructArray.from_arrays(columns, table.column_names)
-
-    return pa.RecordBatch.from_arrays(
-        [pa.array([number], pa.int64()), one(docs), one(structs(pairs)), one(structs(links))], ["block", "docs", "pairs", "links"]
-    )
+    docs = pa.table({"doc_id": pa.array(doc_ids, pa.int64()), **out, "groups_sha256": pa.array(digests)})
+    rows = pairs.num_rows
+    columns = [pa.array([number] * (rows + 1), pa.int64()), pa.array([*range(rows), None], pa.int32())]
+    columns += [pa.concat_arrays([*pairs[c].chunks, pa.nulls(1, pairs[c].type)]) for c in ("a", "b", "n")]
+    columns += [pa.concat_arrays([pa.nulls(rows, pa.binary()), pa.array([_packed(table)], pa.binary())]) for table in (docs, links)]
+    return pa.RecordBatch.from_arrays(columns, ["block", "pos", "a", "b", "n", "docs", "links"])
 
 
 def _aligner(path_a: str, path_b: str, block: int):
@@ -229,34 +239,30 @@ def _aligner(path_a: str, path_b: str, block: int):
     return run
 
 
-def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of documents from blocks and the corpus-wide counts of their pairs, in the order of the blocks' pairs."""
-    for batch in batches:
-        for k in range(batch.num_rows):
-            docs, links, found = (batch.column(c)[k].values for c in ("docs", "links", "found"))
-            n = len(docs)
-            count_sum, n_best = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
-            if found is not None and len(found):
-                order = np.argsort(found.field("pos").to_numpy())
-                counts = found.field("count").to_numpy()[order]
-                best = found.field("best").to_numpy(zero_copy_only=False)[order]
-                doc, pair, times = (links.field(c).to_numpy() for c in ("doc", "pair", "n"))
-                np.add.at(count_sum, doc, times * counts[pair])
-                np.add.at(n_best, doc, times * best[pair])
-            held = {c: docs.field(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
-            columns = [*held.values(), pa.array(n_best), pa.array(count_sum), docs.field("groups_sha256")]
-            yield pa.RecordBatch.from_arrays(columns, [*held, "n_best", "count_sum", "groups_sha256"])
+def _sums(rows: pa.Table) -> pa.Table:
+    """Rows of a block's documents, from their links and the corpus-wide counts of the block's pairs."""
+    whole = rows.select(["docs", "links"]).filter(pc.is_valid(rows["docs"]))
+    docs, links = (_unpacked(whole[c][0]) for c in ("docs", "links"))
+    found = rows.select(["pos", "count", "best"]).filter(pc.is_valid(rows["pos"]))
+    order = np.argsort(found["pos"].to_numpy())
+    counts, best = (found[c].to_numpy()[order] for c in ("count", "best"))
+    doc, pair, times = (links[c].to_numpy() for c in ("doc", "pair", "n"))
+    count_sum, n_best = np.zeros(docs.num_rows, dtype=np.int64), np.zeros(docs.num_rows, dtype=np.int64)
+    np.add.at(count_sum, doc, times * counts[pair])
+    np.add.at(n_best, doc, times * best[pair])
+    held = docs.select(["doc_id", "n_a", "n_b", "n_groups", "n_links"])
+    return held.append_column("n_best", pa.array(n_best)).append_column("count_sum", pa.array(count_sum)).append_column("groups_sha256", docs["groups_sha256"])
 
 
 def aligned_blocks(docs: DataFrame, byte_level_file: str, piece_file: str, block: int = BLOCK) -> DataFrame:
-    """Blocks of documents with their groups, their id pairs and the links of each document; written once."""
+    """Blocks of documents with their groups, their id pairs, one to a row, and the links of each document; written once."""
     return stored(docs.select("doc_id", "text").mapInArrow(_aligner(byte_level_file, piece_file, block), BLOCKS), "align-blocks")
 
 
 def pair_counts(blocks: DataFrame) -> DataFrame:
     """(a, b, count, best): the links of each id pair over the corpus; ``best`` if no other A id is linked more often with b."""
     counts = stored(
-        blocks.select(F.inline("pairs")).groupBy("a", "b").agg(F.sum("n").alias("count")), "align-counts"
+        blocks.where("pos is not null").groupBy("a", "b").agg(F.sum("n").alias("count")), "align-counts"
     )
     most = counts.groupBy("b").agg(F.max("count").alias("most"))
     return counts.join(most, "b").select("a", "b", "count", (F.col("count") == F.col("most")).alias("best"))
@@ -267,9 +273,6 @@ def align_tokenizers(docs: DataFrame, byte_level_file: str, piece_file: str, blo
     blocks = aligned_blocks(docs, byte_level_file, piece_file, block)
     counts = stored(pair_counts(blocks), "align-pairs")
     # A block asks once for each of its pairs, so a pair that is everywhere has as many rows as there are blocks.
-    asked = blocks.select("block", F.posexplode("pairs").alias("pos", "p")).select("block", "pos", "p.a", "p.b")
-    found = (
-        asked.join(counts, ["a", "b"]).groupBy("block")
-        .agg(F.collect_list(F.struct("pos", "count", "best")).alias("found"))
-    )
-    return blocks.select("block", "docs", "links").join(found, "block", "left").select("docs", "links", "found").mapInArrow(_sums, RESULT)
+    found = blocks.where("pos is not null").select("block", "pos", "a", "b").join(counts, ["a", "b"]).select("block", "pos", "count", "best")
+    held = blocks.where("docs is not null").select("block", "docs", "links")
+    return held.unionByName(found, allowMissingColumns=True).groupBy("block").applyInArrow(_sums, RESULT)

@@ -100,3 +100,22 @@ def test_places_are_one_number():
     document = 1 << alignment.PLACE_BITS
     assert found.column_names == ["place", "id", "at"]
     assert found["place"].to_pylist() == [2, 4, 2 * document + 1, 2 * document + 3, 2 * document + 5]
+
+
+def test_no_row_grows_with_its_block(spark):
+    """Lists of links and pairs were decoded by the thousand rows, and ran out of memory where a file had many blocks."""
+    import pyarrow as pa
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").coalesce(1)
+    blocks = alignment.aligned_blocks(docs, *FILES, block=5000)
+    assert not [f.name for f in blocks.schema if f.dataType.typeName() in ("array", "struct", "map")]
+    whole = blocks.where("docs is not null").select("block", "pos").collect()
+    assert len(whole) > 20 and len({r.block for r in whole}) == len(whole) and not any(r.pos for r in whole)
+    # Every pair of a block is a row, numbered from 0 on, and what is packed refers to these numbers.
+    some = blocks.where("block = 0").collect()
+    held = next(r for r in some if r.docs is not None)
+    docs_of, links = (alignment._unpacked(pa.scalar(bytes(x))) for x in (held.docs, held.links))
+    assert sorted(r.pos for r in some if r.pos is not None) == list(range(len(some) - 1))
+    assert set(links["pair"].to_pylist()) == set(range(len(some) - 1)) and sum(docs_of["n_links"].to_pylist()) == sum(r.n for r in some if r.n)
+    plan = alignment.align_tokenizers(docs, *FILES, block=5000)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
